@@ -1,0 +1,31 @@
+"""Connected components of a graph of any size, without collecting links."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .workspace import Workspace
+
+
+def components(edges: DataFrame, work: Workspace, name: str = "components") -> DataFrame:
+    """(id, component) of every id on an edge (a, b) of two longs; component is the least id that it reaches.
+
+    Alternating large and small stars: each round links every id to the least of its neighbours, and the rounds end when
+    the links stay as they are. Rounds are written to the shared folder, which ends their lineage. The hub of a star
+    is an ordinary join key, that Spark splits if it is hot. Null ids and loops are dropped; no edges give no rows.
+    """
+    now = work.save(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
+    mark, k = None, 0
+    while True:
+        seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if seen == mark or not seen[0]:
+            return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+        mark, k = seen, k + 1
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).distinct()
+        now = work.save(small, f"{name}-{k}")
+        work.drop(f"{name}-{k - 1}")
