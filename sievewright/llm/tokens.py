@@ -10,6 +10,7 @@ from __future__ import annotations
 import importlib
 import os
 import re
+from contextlib import suppress
 from itertools import islice
 
 import numpy as np
@@ -76,7 +77,7 @@ class Encoder:
         plain = [x for x in new if self.by_word or len(x.split()) == 1 and x.split()[0] == x.lstrip(b" ") and not x[-1:].isspace()]
         for at in range(0, len(plain), 4096):
             some = plain[at : at + 4096]
-            ids = self._library([self.mark.join(x.decode() for x in some)])[0]
+            ids = self._library([self.mark.encode().join(some).decode()])[0]
             ends = np.flatnonzero(ids == self.mark_ids[0]) if len(self.mark_ids) == 1 else np.empty(0, int)
             if len(ends) != len(some) - 1:
                 for x, y in zip(some, self._library([x.decode() for x in some])):
@@ -94,19 +95,25 @@ class Encoder:
         pieces = [self._pieces(x) if x else [] for x in texts]
         get, found, new = self.kept.get, [], set()
         for words in pieces:
-            got = None if words is None else list(map(get, words))
-            if got is not None and None in got:
-                new.update(w for w, x in zip(words, got) if x is None)
-                got = False
-            found.append(got)
+            got, gaps = None if words is None else list(map(get, words)), []
+            if got and None in got:
+                at = got.index(None)
+                with suppress(ValueError):  # no further gap
+                    while True:
+                        gaps.append(at)
+                        new.add(words[at])
+                        at = got.index(None, at + 1)
+            found.append((got, gaps))
         if new:
             self._learn(new)
         out = []
-        for text, words, got in zip(texts, pieces, found):
+        for text, words, (got, gaps) in zip(texts, pieces, found):
             if words is None:
                 out.append(self._library([text])[0].tobytes())
-            else:
-                out.append(b"".join(got if got is not False else map(self.kept.__getitem__, words)))
+                continue
+            for at in gaps:
+                got[at] = self.kept[words[at]]
+            out.append(b"".join(got))
         if len(self.kept) > KEPT:
             self.kept = dict(islice(self.kept.items(), KEPT // 2))
         return out
