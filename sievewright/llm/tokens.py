@@ -18,7 +18,7 @@ import numpy as np
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Pieces kept in a worker; under 200 bytes each. When it is full the half that came last goes: common pieces come early.
 KEPT = 1_200_000
-_MIXED_SPACE = re.compile(r"\s (?:\s|\Z)")
+_TWO_SPACES = re.compile(r"\s\s")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -49,7 +49,7 @@ class Encoder:
         self.by_word = "lower" in str(self.library.normalizer).lower()
         self.mark = " \x01 " if self.by_word else "\n"
         self.mark_ids = self._library([self.mark])[0]
-        self.kept: dict[bytes, bytes] = {}
+        self.kept: dict[bytes, bytes] = {b"": b""}
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<u2") for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -59,10 +59,10 @@ class Encoder:
         data = text.encode("utf-8", "surrogatepass")
         if self.by_word:
             return None if b"\x01" in data else data.lower().split()  # ASCII letters only, which the library lowers too
-        if "  " in text or _MIXED_SPACE.search(text):
+        # with no two white spaces in a row each space starts a piece, and each line end is one
+        if "\0" in text or _TWO_SPACES.search(text):
             return None
-        first, *rest = data.split(b" ")
-        return [first, *[b" " + x for x in rest]]
+        return data.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0").split(b"\0")
 
     def _learn(self, new: set[bytes]) -> None:
         """Joined by a mark that is always a token of its own, many new pieces are encoded at once.
