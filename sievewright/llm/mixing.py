@@ -7,8 +7,8 @@ the rest fits are capped. A document is emitted floor(rate) times, and once more
 read as a number from 0 to 1, is below the fraction of the rate.
 
 Null texts and texts without words have size 0 and are emitted at their source's rate (a source without words: never);
-equal doc_ids draw alike; an empty table gives an empty mix. The table of sources has a row for each source; Spark
-broadcasts it only if its measured size allows, else joins by shuffle and splits a hot source.
+equal doc_ids draw alike; an empty table gives an empty mix. The table of sources has a row for each source; it is broadcast
+if it is counted to have at most SMALL rows, else joined by shuffle, where Spark splits a hot source.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .workspace import documents
+from .workspace import Workspace, documents
 
-LIMIT, SEED = 3, 20_240_501
+LIMIT, SEED, SMALL = 3, 20_240_501, 10_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -38,24 +38,34 @@ def source_targets(sized: DataFrame, limit: int = LIMIT) -> DataFrame:
     return left.select("source", "source_size", F.when(F.col("rest_w") > level["rest_w"], F.col("cap").cast("double")).otherwise(level["rest"].cast("double") * F.col("w") / level["rest_w"]).alias("target"))
 
 
-def mix(docs: DataFrame, limit: int = LIMIT, seed: int = SEED) -> DataFrame:
-    """(doc, size, source_size, target, copies): doc holds the row as it was."""
-    held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
-    sized = held.select("doc", F.col("doc.source").alias("source"), F.coalesce(F.regexp_count(F.col("doc.text"), F.lit(WORDS)), F.lit(0)).cast("long").alias("size"))
-    targets = source_targets(sized.select("source", "size"), limit).withColumnRenamed("source", "of")
-    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("of")))
+def _rated(rows: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+    """rows, which have source, size and doc_id, with source_size, target and copies."""
+    if targets.count() <= SMALL:
+        targets = F.broadcast(targets)
+    joined = rows.join(targets.withColumnRenamed("source", "__of"), F.col("source").eqNullSafe(F.col("__of"))).drop("__of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
-    return joined.withColumn("rate", rate).select("doc", "size", "source_size", "target", (F.floor("rate") + F.when(drawn < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("long").alias("copies"))
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+    return joined.withColumn("copies", (F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)).cast("long"))
+
+
+def mix(docs: DataFrame, limit: int = LIMIT, seed: int = SEED) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) of each document."""
+    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORDS)), F.lit(0)).cast("long").alias("size")
+    sized = docs.select("doc_id", "source", size)
+    targets = Workspace(docs.sparkSession, "mixing").save(source_targets(sized.select("source", "size"), limit), "targets")
+    return _rated(sized, targets, seed)
 
 
 def mixed(docs: DataFrame, limit: int = LIMIT, seed: int = SEED) -> DataFrame:
     """The mix itself: rows of docs, each as often as it is taken."""
-    return mix(docs, limit, seed).where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
+    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORDS)), F.lit(0)).cast("long").alias("size")
+    targets = Workspace(docs.sparkSession, "mixing").save(source_targets(docs.select("source", size), limit), "targets")
+    held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), docs["doc_id"], docs["source"])
+    return _rated(held, targets, seed).where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir)).select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 SQL = rf"""
