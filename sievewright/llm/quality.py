@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .workspace import documents, ship
+from .workspace import Workspace, documents, ship
 
 SAMPLE, LONGEST, PIECE, DICTIONARY, LEVEL = 900, 1 << 16, 2048, 110_000, 3
 _compressors: dict[bytes, tuple] = {}
@@ -92,14 +92,21 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[bytes, bytes, np.ndarray]:
     """Dictionaries and weights from the labelled rows that aren't held out."""
-    text = F.col("text").cast("string")
+    work = Workspace(docs.sparkSession, "quality")
     named = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
-    rows = docs.select("doc_id", text.alias("text")).where("length(text) > 0").join(named, "doc_id")
+    sizes = docs.select("doc_id", F.octet_length(F.col("text").cast("string")).alias("size")).where("size > 0")
+    rows = work.save(sizes.join(named, "doc_id").withColumn("h", F.xxhash64("doc_id")), "labelled")
     many = {r.quality: r.n for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    # which rows to take is settled on numbers alone; then so many texts at most are fetched
+    short = rows.where(F.col("size") <= LONGEST).groupBy("doc_id", "quality", "h").agg(F.lit(1))
+    chosen = [r for label in (1, 0) for r in short.where(F.col("quality") == label).orderBy("h", "doc_id").select("h", "doc_id", "quality").limit(2 * SAMPLE).collect()]
+    ids = docs.sparkSession.createDataFrame(sorted({(r.doc_id,) for r in chosen}), "doc_id long")
+    found = docs.join(F.broadcast(ids), "doc_id").where(F.octet_length(F.col("text").cast("string")).between(1, LONGEST)).groupBy("doc_id").agg(F.min(F.col("text").cast("string")).alias("text"))
+    by_id = {r.doc_id: r.text.encode("utf-8", "surrogatepass") for r in found.collect()}
+    work.drop("labelled")
     made, rest = {}, {}
     for label in (1, 0):
-        some = rows.where((F.col("quality") == label) & (F.octet_length("text") <= LONGEST)).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(2 * SAMPLE)
-        texts = [r.text.encode("utf-8", "surrogatepass") for r in some.select("text").collect()]
+        texts = [by_id[r.doc_id] for r in chosen if r.quality == label and r.doc_id in by_id]
         cut = min(SAMPLE, (len(texts) + 1) // 2)
         made[label], rest[label] = dictionary(texts[:cut]), texts[cut:]
     if not all(rest.values()):
