@@ -250,5 +250,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of docs for each group: that of the component's id. Rows without a doc_id or without words stay.
+
+    Rows that repeat an id and a text are one document; the least text stands for an id with several.
+    """
+    work = Workspace(docs.sparkSession, "minhash-kept")
+    # ids alone decide, so that texts are shuffled once at most
+    gone = work.save(near_duplicates(docs, percent).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("many")).where("doc_id IS NOT NULL AND (NOT kept OR many > 1)"), "gone")
+    names = docs.columns
+    held = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("doc"), docs["doc_id"].cast("long").alias("__id"))
+    joined = held.join(gone, held["__id"] == gone["doc_id"], "left").where("kept IS NULL OR kept")
+    once = joined.where("many IS NULL").select("doc").unionByName(joined.where("many > 1").groupBy("__id").agg(F.min_by("doc", F.coalesce(F.col("doc.text").cast("string"), F.lit(""))).alias("doc")).select("doc"))
+    return once.select("doc.*")
+
+
 def op2_minhash_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
