@@ -29,7 +29,7 @@ from .workspace import documents, partitions
 
 WIDTH, RUN, COMMON, WEAK = 64, 64, 16, 100
 BITS, HASHES, FEATURES = 2048, 5, 160
-SHORT, GRAM, CHUNK = 160, 8, 1 << 20
+SHORT, GRAM, CHUNK = 160, 8, 1 << 18
 
 _c = np.arange(WIDTH + 1)
 _weight = np.rint(_c * np.log2(np.maximum(_c, 1)) * (1 << 20)).astype(np.int64)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .batches import groups, local_roots
+from .caches import claim
 from .graph import components
 from .workspace import Workspace, documents
 
@@ -47,7 +48,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 600_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -58,6 +59,7 @@ _words = _Words()
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """The document's set, ascending."""
+    claim("words", _words.clear)
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
     if not n:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .caches import claim
 from .workspace import Workspace, documents, ship
 
 SAMPLE, LONGEST, PIECE, DICTIONARY, LEVEL = 900, 1 << 16, 2048, 110_000, 3
@@ -39,6 +40,7 @@ def dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
 def _pair(good: bytes, bad: bytes) -> tuple:
     import zstandard
 
+    claim("compressors", _compressors.clear)
     if (key := good[:64] + bad[:64] + bytes([len(good) % 251, len(bad) % 251])) not in _compressors:
         made = []
         for data in (good, bad):

@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .caches import claim
 from .workspace import Workspace, documents, free_shuffles, partitions
 
-LENGTH, GRAM, HOT = 200, 100, 20_000
-CHUNK, BATCH, FLUSH = 1 << 20, 4096, 100_000
+LENGTH, GRAM, HOT = 200, 100, 8_000
+CHUNK, BATCH, FLUSH = 1 << 18, 4096, 25_000
 _SPAN = LENGTH - GRAM + 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -53,6 +54,7 @@ def _tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def string_hashes(x: np.ndarray, starts: np.ndarray | None, length: int, base: int = _BASES[0]) -> np.ndarray:
     """Hashes of the strings of some length at starts (all, if None)."""
+    claim("powers", _powers.clear)
     up, down = _tables(base, len(x) + 1)
     sums = np.zeros(len(x) + 1, np.uint64)
     np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up[: len(x)], out=sums[1:])

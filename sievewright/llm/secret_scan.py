@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .caches import claim
 from .workspace import documents, ship
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -242,6 +243,7 @@ def field_spans(text: str, low: bytes, field: Field) -> list[tuple[int, int]]:
 
 def all_spans(text: str | None, field: Field) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and these with what the field adds."""
+    claim("shapes", shape.cache_clear)
     text = text or ""
     data = text.encode("utf-8", "surrogatepass")
     base = base_spans(text, data)

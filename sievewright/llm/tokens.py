@@ -15,9 +15,11 @@ from itertools import islice
 
 import numpy as np
 
+from .caches import claim
+
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Pieces kept in a worker; under 200 bytes each. When it is full the half that came last goes: common pieces come early.
-KEPT = 1_200_000
+KEPT = 800_000
 _TWO_SPACES = re.compile(r"\s\s")
 _encoders: dict[str, "Encoder"] = {}
 
@@ -29,6 +31,7 @@ def vocabulary_path(name: str) -> str:
 
 def encoder(name: str) -> "Encoder":
     """One encoder for each vocabulary and worker process."""
+    claim("tokens", _encoders.clear)
     if name not in _encoders:
         _encoders[name] = Encoder(name)
     return _encoders[name]

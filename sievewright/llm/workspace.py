@@ -17,6 +17,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one is set where it is unset and the master is local."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -30,8 +33,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each Spark context; they need no installed copy."""
+    """Sends this package to the executors, once for each Spark context, and has texts sent to Python in small batches."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":  # Spark's default; whole texts in so many rows would fill a worker's memory
+        spark.conf.set(_BATCH, "512")
     if getattr(context, "_sievewright_shipped", False):
         return
     package = Path(__file__).resolve().parent.parent
