@@ -88,8 +88,3 @@ def free_shuffles(spark: SparkSession) -> None:
 def partitions(spark: SparkSession, least: int = 1) -> int:
     """Shuffle partitions as the session sets them."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
