@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .batches import groups, local_roots
-from .graph import components
+from ..operators.batches import groups, local_roots
+from ..operators.graph import components
 from .workspace import Workspace, ship
 
 THRESHOLD, TILE, EXACT = 0.93, 1024, 1000

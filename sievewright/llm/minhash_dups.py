@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .batches import groups, local_roots
+from ..operators.batches import groups, local_roots
 from .caches import claim
-from .graph import components
+from ..operators.graph import components
 from .workspace import Workspace, documents
 
 WIDTH, PERCENT = 5, 85

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .batches import groups
+from ..operators.batches import groups
 from .tokens import BYTE_BPE, encoder
 from .workspace import Workspace, documents
 

@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from .caches import claim
 from .workspace import Workspace, documents, free_shuffles, partitions
 
-LENGTH, GRAM, HOT = 200, 100, 8_000
-CHUNK, BATCH, FLUSH = 1 << 18, 4096, 25_000
+#: HOT suffixes of 300 bytes, and STRINGS hashes with what sorting takes, are some 50 MB each in a worker.
+LENGTH, GRAM, HOT = 200, 100, 100_000
+CHUNK, BATCH, FLUSH, STRINGS = 1 << 18, 4096, 25_000, 400_000
 _SPAN = LENGTH - GRAM + 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -52,16 +53,16 @@ def _tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[base]
 
 
-def string_hashes(x: np.ndarray, starts: np.ndarray | None, length: int, base: int = _BASES[0]) -> np.ndarray:
-    """Hashes of the strings of some length at starts (all, if None)."""
+def hash_sums(x: np.ndarray, base: int) -> np.ndarray:
     claim("powers", _powers.clear)
-    up, down = _tables(base, len(x) + 1)
     sums = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up[: len(x)], out=sums[1:])
-    if starts is None:
-        n = max(0, len(x) - length + 1)
-        return (sums[length:] - sums[:n]) * down[:n]
-    return (sums[starts + length] - sums[starts]) * down[starts]
+    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * _tables(base, len(x) + 1)[0][: len(x)], out=sums[1:])
+    return sums
+
+
+def hashes_at(sums: np.ndarray, starts: np.ndarray, length: int, base: int) -> np.ndarray:
+    """Hashes of the strings of some length at starts, from the sums over all bytes."""
+    return (sums[starts + length] - sums[starts]) * _tables(base, len(sums))[1][starts]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -76,7 +77,8 @@ def text_anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     ends = np.cumsum(sizes)
     if len(x) < LENGTH:
         return (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 4)
-    pieces = _mixed(string_hashes(x, None, GRAM))
+    sums, n = hash_sums(x, _BASES[0]), len(x) - GRAM + 1
+    pieces = _mixed((sums[GRAM:] - sums[:n]) * _tables(_BASES[0], len(sums))[1][:n])
     bits = np.uint64((1 << int(len(x)).bit_length()) - 1)
     low = (pieces & ~bits) | np.arange(len(pieces), dtype=np.uint64)
     span = 1
@@ -216,28 +218,35 @@ class LoserTree:
 
 
 def repeated_strings(members: list[tuple[bytes, tuple[bytes, int, int, int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(doc_id, text hash, start, end) of the bytes that repeated strings cover; all members of a piece must be there."""
-    runs = [load[0] + suffix for suffix, load in members]
-    x = np.frombuffer(b"".join(runs), np.uint8)
-    sizes = np.array([len(r) for r in runs])
-    base = np.cumsum(sizes) - sizes
-    many = sizes - LENGTH + 1
-    owner = np.repeat(np.arange(len(runs)), many)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-    one, two = (string_hashes(x, base[owner] + step, LENGTH, b) for b in _BASES)
-    order = np.lexsort((two, one))
-    same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-    twice = np.zeros(len(owner), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    at = np.flatnonzero(twice)
-    if not len(at):
-        return (np.empty(0, np.int64),) * 4
-    new = np.flatnonzero(np.r_[True, (np.diff(at) > 1) | (owner[at][1:] != owner[at][:-1])])
-    last = np.r_[new[1:], len(at)] - 1
+    """(doc_id, text hash, start, end) of the bytes that repeated strings cover; all members of a piece must be there.
+
+    Equal strings have their anchor at one distance, so strings are looked at by distance, about STRINGS at once.
+    """
+    x = np.frombuffer(b"".join(part for suffix, load in members for part in (load[0], suffix)), np.uint8)
+    left = np.array([len(load[0]) for _, load in members])
+    sizes = left + [len(suffix) for suffix, _ in members]
     numbers = np.array([load[1:] for _, load in members], np.int64).reshape(-1, 3)
-    who = owner[at[new]]
-    return numbers[who, 0], numbers[who, 1], numbers[who, 2] + step[at[new]], numbers[who, 2] + step[at[last]] + LENGTH
+    base = np.cumsum(sizes) - sizes
+    sums = [hash_sums(x, b) for b in _BASES]
+    width, out = max(1, STRINGS // len(members)), []
+    for near in range(0, _SPAN, width):
+        low = np.maximum(left - (near + width - 1), 0)
+        many = np.maximum(np.minimum(sizes - LENGTH, left - near) - low + 1, 0)
+        owner = np.repeat(np.arange(len(members)), many)
+        step = np.arange(len(owner)) + np.repeat(low - (np.cumsum(many) - many), many)
+        one, two = (hashes_at(s, base[owner] + step, LENGTH, b) for s, b in zip(sums, _BASES))
+        order = np.lexsort((two, one))
+        same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+        twice = np.zeros(len(owner), bool)
+        twice[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        at = np.flatnonzero(twice)
+        if len(at):
+            new = np.flatnonzero(np.r_[True, (np.diff(at) > 1) | (owner[at][1:] != owner[at][:-1])])
+            last = np.r_[new[1:], len(at)] - 1
+            who = owner[at[new]]
+            out.append((numbers[who, 0], numbers[who, 1], numbers[who, 2] + step[at[new]], numbers[who, 2] + step[at[last]] + LENGTH))
+    return tuple(np.concatenate([np.empty(0, np.int64), *c]) for c in zip(*out)) if out else (np.empty(0, np.int64),) * 4
 
 
 NO_ID = -(1 << 63)
@@ -304,7 +313,7 @@ def suffix_runs(chosen: DataFrame, buckets: int) -> DataFrame:
                     x = np.frombuffer(data, np.uint8)
                     ranges = [unpacked_place(p)[1:] for p in {*hot}]
                     starts = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in ranges]))
-                    one, two = (string_hashes(x, starts, LENGTH, b).view(np.int64) for b in _BASES)
+                    one, two = (hashes_at(hash_sums(x, b), starts, LENGTH, b).view(np.int64) for b in _BASES)
                     n = len(starts)
                     yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(one), pa.array(two), pa.array(np.full(n, doc)), pa.array(np.full(n, h)), pa.array(starts)], names)
         if many:
