@@ -1,0 +1,57 @@
+"""python -m sievewright: the stages as commands over files of JSON lines."""
+
+from __future__ import annotations
+
+import argparse
+import json
+
+from pyspark.sql import SparkSession
+
+from .operators import metrics
+from .plans import stages
+from .sources import config, files
+
+JUDGED = "id string, prompt string, violated_policy string, severity string, verdict string, matched_policy_id string, judged_severity string, requires_external_context boolean, judge_error string"
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(prog="sievewright")
+    sub = parser.add_subparsers(dest="command", required=True)
+    for name, options in {
+        "plan": ("config", "output"), "records": ("config", "input", "output"), "judge": ("config", "input", "answers", "output"),
+        "evaluate": ("gold", "predictions"), "sample": ("input", "output"), "score": ("labels", "predictions"),
+    }.items():
+        command = sub.add_parser(name)
+        for option in options:
+            command.add_argument(f"--{option}", required=True)
+        if name == "sample":
+            command.add_argument("--n", type=int, default=50)
+            command.add_argument("--seed", type=int, default=42)
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.appName("sievewright").getOrCreate()
+    run = config.load(args.config) if getattr(args, "config", None) else None
+    if args.command == "plan":
+        print(stages.manifest(run, {"digest": files.write_records(stages.requests(spark, run), args.output)}))
+    elif args.command == "records":
+        made, failed = stages.build_records(files.read_records(spark, args.input, "call_idx long, policy_id string, severity string, model string, count int, content string, ok boolean, error string, finish_reason string", "call_idx"), run)
+        counts = {"digest": files.write_records(made, f"{args.output}/records")}
+        if not failed.isEmpty():
+            files.write_records(failed, f"{args.output}/failures")
+        print(stages.manifest(run, counts))
+    elif args.command == "judge":
+        rows = files.read_records(spark, args.input, "id string, prompt string, violated_policy string, severity string, domain string, generation_rationale string", required=("id", "prompt", "violated_policy"))
+        done = stages.judge(rows, files.read_records(spark, args.answers, "id string, content string, ok boolean, error string"), run.judge.require_severity_match)
+        done.write.mode("overwrite").partitionBy("destination").json(args.output)
+    elif args.command == "evaluate":
+        gold = files.read_records(spark, args.gold, "id string, policy_id string, gold_verdict string, gold_severity string")
+        row = metrics.evaluation(metrics.scored(gold, files.read_records(spark, args.predictions, JUDGED))).first()
+        print(json.dumps(row.asDict(), sort_keys=True, indent=2))
+    elif args.command == "sample":
+        files.write_records(stages.worksheet(files.read_records(spark, args.input, JUDGED), args.n, args.seed), args.output)
+    else:
+        labels = files.read_records(spark, args.labels, "id string, policy_id string, gold_verdict string, gold_severity string")
+        print(stages.report(stages.review(labels, files.read_records(spark, args.predictions, JUDGED))))
+
+
+if __name__ == "__main__":
+    main()

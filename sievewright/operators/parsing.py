@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Marks, labels and keys that replies use.
@@ -145,8 +146,7 @@ def parsed_judgment(raw: str | None, expected: str) -> dict[str, Any]:
     return {"verdict": verdict, "matched_policy_id": policy, "judged_severity": level, "requires_external_context": outside, "decision_summary": summary.strip()}
 
 
-@F.pandas_udf("prompts array<struct<prompt:string,generation_rationale:string>>, strategy string, error string")
-def parse_reply(raw: pd.Series) -> pd.DataFrame:
+def _replies(raw: pd.Series) -> pd.DataFrame:
     rows = [parsed_reply(x) for x in raw]
     made = [[{"prompt": p, "generation_rationale": r} for p, r in entries] for entries, _, _ in rows]
     return pd.DataFrame({"prompts": made, "strategy": [r[1] for r in rows], "error": [r[2] for r in rows]})
@@ -155,7 +155,17 @@ def parse_reply(raw: pd.Series) -> pd.DataFrame:
 _JUDGED = ("verdict", "matched_policy_id", "judged_severity", "requires_external_context", "decision_summary", "judge_error")
 
 
-@F.pandas_udf("verdict string, matched_policy_id string, judged_severity string, requires_external_context boolean, decision_summary string, judge_error string")
-def parse_judgment(raw: pd.Series, expected: pd.Series) -> pd.DataFrame:
+def _judgments(raw: pd.Series, expected: pd.Series) -> pd.DataFrame:
     rows = [parsed_judgment(x, y) for x, y in zip(raw, expected)]
     return pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in _JUDGED})
+
+
+def parse_reply(raw: Column | str) -> Column:
+    """(prompts, strategy, error) of a reply."""
+    return F.pandas_udf(_replies, "prompts array<struct<prompt:string,generation_rationale:string>>, strategy string, error string")(raw)
+
+
+def parse_judgment(raw: Column | str, expected: Column | str) -> Column:
+    """(verdict, matched_policy_id, judged_severity, requires_external_context, decision_summary, judge_error) of a judge's reply."""
+    kind = ", ".join(f"{c} {'boolean' if c == 'requires_external_context' else 'string'}" for c in _JUDGED)
+    return F.pandas_udf(_judgments, kind)(raw, expected)

@@ -428,8 +428,8 @@ def yield_gate(spark, sf):
     return metrics.yield_gate(cells.withColumn("requested", F.col("produced") + F.col("failed")).withColumn("judged", F.col("produced")))
 
 
-@_query("""SELECT n_name AS policy_id, unnest(list_filter([CASE WHEN n_nationkey % 3 = 0 THEN 'cell low: no example' END, CASE WHEN n_nationkey % 3 = 0 THEN 'cell medium: no example' END, CASE WHEN n_nationkey % 3 <> 0 THEN 'cell low: under 3 examples' END,
-  CASE WHEN n_nationkey % 3 <> 0 THEN 'cell medium: under 3 examples' END, 'cell high: under 3 examples', CASE WHEN n_nationkey % 2 <> 0 THEN 'no allowed examples' END, CASE WHEN n_nationkey % 4 <> 0 THEN 'no definitions' END], x -> x IS NOT NULL)) AS finding FROM nation""")
+@_query("""SELECT * FROM (SELECT n_name AS policy_id, unnest([CASE WHEN n_nationkey % 3 = 0 THEN 'cell low: no example' END, CASE WHEN n_nationkey % 3 = 0 THEN 'cell medium: no example' END, CASE WHEN n_nationkey % 3 <> 0 THEN 'cell low: under 3 examples' END,
+  CASE WHEN n_nationkey % 3 <> 0 THEN 'cell medium: under 3 examples' END, 'cell high: under 3 examples', CASE WHEN n_nationkey % 2 <> 0 THEN 'no allowed examples' END, CASE WHEN n_nationkey % 4 <> 0 THEN 'no definitions' END]) AS finding FROM nation) WHERE finding IS NOT NULL""")
 def policy_lint(spark, sf):
     """Findings of the catalog's check."""
     from ..operators.lint import lint
