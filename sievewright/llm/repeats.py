@@ -222,19 +222,39 @@ def repeated_strings(members: list[tuple[bytes, tuple[bytes, int, int, int]]]) -
 
     Equal strings have their anchor at one distance, so strings are looked at by distance, about STRINGS at once.
     """
-    x = np.frombuffer(b"".join(part for suffix, load in members for part in (load[0], suffix)), np.uint8)
     left = np.array([len(load[0]) for _, load in members])
     sizes = left + [len(suffix) for suffix, _ in members]
     numbers = np.array([load[1:] for _, load in members], np.int64).reshape(-1, 3)
-    base = np.cumsum(sizes) - sizes
-    sums = [hash_sums(x, b) for b in _BASES]
+    # sums over bytes are held for about CHUNK bytes; many more are computed again for each distance
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // CHUNK, prepend=-1))
+    blocks = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(members)]))
+    kept: dict[int, list[np.ndarray]] = {}
+
+    def sums(first: int, last: int) -> list[np.ndarray]:
+        if first not in kept:
+            if len(blocks) > 8:
+                kept.clear()
+            x = np.frombuffer(b"".join(part for suffix, load in members[first:last] for part in (load[0], suffix)), np.uint8)
+            kept[first] = [hash_sums(x, b) for b in _BASES]
+        return kept[first]
+
     width, out = max(1, STRINGS // len(members)), []
     for near in range(0, _SPAN, width):
         low = np.maximum(left - (near + width - 1), 0)
         many = np.maximum(np.minimum(sizes - LENGTH, left - near) - low + 1, 0)
         owner = np.repeat(np.arange(len(members)), many)
         step = np.arange(len(owner)) + np.repeat(low - (np.cumsum(many) - many), many)
-        one, two = (hashes_at(s, base[owner] + step, LENGTH, b) for s, b in zip(sums, _BASES))
+        hashes: list[list[np.ndarray]] = [[], []]
+        for first, last in blocks:
+            a, b = np.searchsorted(owner, (first, last))
+            if a < b:
+                base = np.cumsum(sizes[first:last]) - sizes[first:last]
+                starts = base[owner[a:b] - first] + step[a:b]
+                for held, s, factor in zip(hashes, sums(first, last), _BASES):
+                    held.append(hashes_at(s, starts, LENGTH, factor))
+        if not hashes[0]:
+            continue
+        one, two = (np.concatenate(h) for h in hashes)
         order = np.lexsort((two, one))
         same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
         twice = np.zeros(len(owner), bool)
