@@ -11,8 +11,9 @@ occurs more than once; neighbouring strings share an anchor and form a run. No r
 3. `LoserTree` merges the runs of a partition; suffixes are only compared from where their common prefix with the last
    output ends. Its output says where a group, of one piece, ends.
 4. `repeated_strings` finds equal strings in whole groups by two 64-bit hashes of all LENGTH bytes.
-5. Pieces that occur above HOT times are not merged in one task: their strings' hashes are counted by a shuffle of partial
-   counts, which is as exact.
+5. Pieces that occur above HOT times are not merged in one task. Each task finds what repeats among the strings of such
+   pieces that it has itself, and sends one of each string on, packed and dealt by its hash (`hot_strings`); what repeats
+   only between tasks is found there (`across_tasks`). This is as exact.
 
 The key of a document is its doc_id and a hash of its text, so that repeated rows repeat each other and rows that share an
 id don't mix. Null texts count as empty; texts below LENGTH bytes keep all; an empty table gives no rows. Other
@@ -303,21 +304,54 @@ def anchors(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(rows, "piece long, doc long, h long, place long")
 
 
+def _same_as_another(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, first of its kind, has others) of strings by their hashes, in that order."""
+    order = np.lexsort((two, one))
+    same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+    first = np.r_[True, ~same]
+    return order, first, ~first | np.r_[same, False]
+
+
+def hot_strings(held: list[np.ndarray], buckets: int) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
+    """Of rows (one, two, doc, h, start) in order of the text: stretches (doc, h, start, end) that repeat among them, and
+    for each bucket one row of each string, with whether its stretches are told already."""
+    rows = np.concatenate(held, 1)
+    order, first, many = _same_as_another(rows[0], rows[1])
+    twice = np.zeros(rows.shape[1], bool)
+    twice[order[many]] = True
+    at = np.flatnonzero(twice)
+    told = np.empty((4, 0), np.int64)
+    if len(at):
+        next_to = (np.diff(at) == 1) & (np.diff(rows[2:4, at], axis=1) == 0).all(0) & (np.diff(rows[4, at]) == 1)
+        begins, ends = np.r_[True, ~next_to], np.r_[~next_to, True]
+        told = np.stack([*rows[2:5, at[begins]], rows[4, at[ends]] + LENGTH])
+    sent = np.concatenate([rows[:, order[first]], many[first][None].astype(np.int64)])
+    bucket = sent[0] % buckets
+    return told, [(int(k), np.ascontiguousarray(sent[:, bucket == k], "<i8").tobytes()) for k in np.unique(bucket)]
+
+
 def suffix_runs(chosen: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, run, one, two, doc, h, start) from rows of doc, h, text, places and hot places.
+    """(bucket, run, strings, doc, h, start, end) from rows of doc, h, text, places and hot places.
 
-    A row is either a front-coded run of a bucket, or, for a hot piece, the two hashes of one string and where it is.
+    A row is a front-coded run of a bucket, or strings of hot pieces for one, or a stretch that repeats.
     """
-    names = ["bucket", "run", "one", "two", "doc", "h", "start"]
+    names = ["bucket", "run", "strings", "doc", "h", "start", "end"]
 
     def blobs(held: list[list]) -> pa.RecordBatch:
         some = [k for k, records in enumerate(held) if records]
         made = [front_coded(sorted(held[k])) for k in some]
-        empty = pa.nulls(len(some), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(made, pa.binary()), *[empty] * 5], names)
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(made, pa.binary()), pa.nulls(len(some), pa.binary()), *[pa.nulls(len(some), pa.int64())] * 4], names)
+
+    def packed(strings: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        told, sent = hot_strings(strings, buckets)
+        n = told.shape[1]
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 2, *map(pa.array, told)], names)
+        n = len(sent)
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()), pa.nulls(n, pa.binary()), pa.array([x for _, x in sent], pa.binary()), *[pa.nulls(n, pa.int64())] * 4], names)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, many = [[] for _ in range(buckets)], 0
+        strings, waiting = [], 0
         for batch in batches:
             for doc, h, text, places, hot in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode("utf-8", "surrogatepass")
@@ -331,15 +365,35 @@ def suffix_runs(chosen: DataFrame, buckets: int) -> DataFrame:
                     held, many = [[] for _ in range(buckets)], 0
                 if hot:
                     x = np.frombuffer(data, np.uint8)
-                    ranges = [unpacked_place(p)[1:] for p in {*hot}]
-                    starts = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in ranges]))
+                    starts = np.unique(np.concatenate([np.arange(a, b + 1) for _, a, b in map(unpacked_place, {*hot})]))
                     one, two = (hashes_at(hash_sums(x, b), starts, LENGTH, b).view(np.int64) for b in _BASES)
-                    n = len(starts)
-                    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(one), pa.array(two), pa.array(np.full(n, doc)), pa.array(np.full(n, h)), pa.array(starts)], names)
+                    strings.append(np.stack([one, two, np.full(len(starts), doc), np.full(len(starts), h), starts]))
+                    waiting += len(starts)
+                    if waiting >= STRINGS:
+                        yield from packed(strings)
+                        strings, waiting = [], 0
         if many:
             yield blobs(held)
+        if strings:
+            yield from packed(strings)
+
+    return chosen.mapInArrow(rows, "bucket int, run binary, strings binary, doc long, h long, start long, end long")
 
-    return chosen.mapInArrow(rows, "bucket int, run binary, one long, two long, doc long, h long, start long")
+
+def across_tasks(runs: DataFrame, buckets: int) -> DataFrame:
+    """(doc, h, start, end) of strings of hot pieces that only repeat between tasks."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.frombuffer(x, "<i8").reshape(6, -1) for batch in batches for x in batch.column(1).to_pylist()]
+        if held:
+            found = np.concatenate(held, 1)
+            order, _, many = _same_as_another(found[0], found[1])
+            at = order[many]
+            at = at[found[5, at] == 0]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, found[2:5, at]), pa.array(found[4, at] + LENGTH)], ["doc", "h", "start", "end"])
+
+    dealt = runs.where("strings IS NOT NULL").select("bucket", "strings").repartitionById(buckets, F.col("bucket"))
+    return dealt.mapInArrow(rows, "doc long, h long, start long, end long")
 
 
 def merged(runs: DataFrame, buckets: int) -> DataFrame:
@@ -384,10 +438,8 @@ def repeated_stretches(docs: DataFrame, work: Workspace, hot: int = HOT) -> Data
     runs = work.save(suffix_runs(keyed.join(kept, ["doc", "h"]).select("doc", "h", "text", "places", "hot"), buckets), "runs")
     work.drop("kept")
     free_shuffles(spark)
-    strings = runs.where("run IS NULL").select("one", "two", "doc", "h", "start")
-    twice = strings.groupBy("one", "two").agg(F.count("*").alias("many")).where("many > 1").drop("many")
-    hot_spans = strings.join(twice, ["one", "two"]).select("doc", "h", "start", (F.col("start") + LENGTH).alias("end"))
-    spans = merged(runs, buckets).unionByName(hot_spans).groupBy("doc", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    told = runs.where("start IS NOT NULL").select("doc", "h", "start", "end")
+    spans = merged(runs, buckets).unionByName(across_tasks(runs, buckets)).unionByName(told).groupBy("doc", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = work.save(spans, "spans")
     work.drop("runs")
     free_shuffles(spark)
