@@ -1,0 +1,91 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and further columns, for every operator and stage."""
+
+import pytest
+from conftest import DATA
+
+import corpus_pipeline
+from sievewright.llm import digests, embedding_dups, minhash_dups, mixing, packing, quality, repeats, resharding, secret_scan, token_output
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, bucket int, part long, component_id long, quality int, h long, n long, copies int"
+MORE = (1, 0.5, 2, 3, 4, 5, 6, 7, 8)
+ROWS = [
+    (1, "one two three four five six seven", "en", "a", 33, *MORE),
+    (1, "one two three four five six seven", "en", "a", 33, *MORE),
+    (2, None, None, None, None, *[None] * 9),
+    (None, "no id here at all, none", "en", None, 23, *MORE),
+    (3, "", "en", "b", 0, *MORE),
+    (4, " \n\t ", "en", "b", 4, *MORE),
+    (5, "word " * 30_000, "en", "b", 150_000, *MORE),
+    (6, "x" * 50_000, "en", "c", 50_000, *MORE),
+    (7, "one two three four five six seven", "en", "a", 33, *MORE),
+    (7, "another text under the same id", "en", "a", 30, *MORE),
+]
+BY_ROW = {
+    "tokens": token_output.token_output, "minhash": minhash_dups.near_duplicates, "mix": mixing.mix, "repeats": repeats.repeats_removed, "secrets": secret_scan.scan, "shards": resharding.plan, "digests": digests.digests, "masked": secret_scan.redacted,
+}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.mark.parametrize("name", BY_ROW)
+def test_a_row_for_each_row(spark, odd, name):
+    assert BY_ROW[name](odd).count() == len(ROWS)
+    assert BY_ROW[name](odd.limit(0)).count() == 0
+    assert BY_ROW[name](spark.createDataFrame([(9, None)], "doc_id long, text string") if name != "mix" else odd.where("doc_id = 2")).count() == 1
+
+
+def test_packing(odd):
+    rows = packing.packed(odd).toPandas()
+    assert (rows.piece == 0).sum() == len(ROWS) and packing.packed(odd.limit(0)).count() == 0
+
+
+def test_quality(spark, odd):
+    for labels in ([], [(k, k % 2) for k in range(8)], [(1, 1)]):
+        given = spark.createDataFrame(labels, "doc_id long, quality int")
+        out = quality.scored(odd.drop("score"), quality.train(odd, given)).toPandas()
+        assert len(out) == len(ROWS) and out.score.between(0, 1).all() and out[out.text.isna()].score.iloc[0] == out[out.text == ""].score.iloc[0]
+        assert quality.accepted(odd, given).columns == odd.columns
+    assert quality.scored(odd.drop("score").limit(0), quality.train(odd.limit(0), given)).count() == 0
+
+
+def test_values_of_odd_rows(odd):
+    first = {(r.doc_id, r.n_bytes): r for r in repeats.repeats_removed(odd).collect()}
+    assert first[5, 150_000].n_removed == 150_000 and first[6, 50_000].n_removed == 50_000 and first[2, 0].n_spans == 0
+    dup = minhash_dups.near_duplicates(odd).collect()
+    assert {(r.doc_id, r.component_id) for r in dup} >= {(1, 1), (7, 1), (2, 2), (None, None), (3, 3)} and all(r.kept for r in dup if r.doc_id in (1, 2, 3, 4, None))
+    kept = minhash_dups.deduplicated(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7]
+    tokens = token_output.token_output(odd).orderBy("start").collect()
+    assert tokens[0].doc_id is None and [r.n_tokens for r in tokens if r.doc_id in (2, 3, 4)] == [1, 1, 1]
+    assert sum(r.near_next == 1.0 for r in digests.digests(odd).collect() if r.doc_id in (2, 3)) >= 1
+
+
+def test_a_long_row_of_copies(spark):
+    many = spark.range(3000).selectExpr("id AS doc_id", "'the same words over and over in every single row' AS text", "'s' AS source")
+    assert {(r.component_id, r.n_shingles) for r in minhash_dups.near_duplicates(many).collect()} == {(0, 6)}
+    assert resharding.plan(many, 32, 40).groupBy("shard").count().agg({"count": "max"}).first()[0] <= 80
+
+
+def test_vectors(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, n_links int")
+    assert embedding_dups.near_duplicates(empty).count() == 0
+    rows = [(1, [1.0, 0.0], 0, 9), (1, [1.0, 0.0], 0, 9), (None, [1.0, 0.0], 0, 9), (2, [0.0, 1.0], 0, 9)]
+    got = embedding_dups.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, n_links int")).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0) for r in got) == [(0, 0, 0), (1, 1, 1), (1, 1, 1), (2, 0, 2)]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages(spark, odd, name, stage):
+    for docs in (odd, odd.limit(0), spark.read.parquet(f"{DATA}/documents.parquet")):
+        out = stage(spark, docs, DATA)
+        assert out.count() <= 2 * docs.count() + 200
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns and out.schema == docs.schema
+
+
+def test_pipeline_runs_whole(spark):
+    rows = corpus_pipeline.run(spark, DATA).toPandas()
+    assert len(rows) > 0 and rows.groupby("sequence_id")["length"].sum().max() <= 1024
