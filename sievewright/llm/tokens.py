@@ -18,8 +18,9 @@ import numpy as np
 from .caches import claim
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: Pieces kept in a worker; under 200 bytes each. When it is full the half that came last goes: common pieces come early.
-KEPT = 800_000
+#: Pieces kept in a worker, under 200 bytes each: of words, and of bytes, whose operator follows others in the pipeline.
+#: When it is full the half that came last goes: common pieces come early.
+KEPT_WORDS, KEPT_BYTES = 1_200_000, 800_000
 _TWO_SPACES = re.compile(r"\s\s")
 _encoders: dict[str, "Encoder"] = {}
 
@@ -117,6 +118,6 @@ class Encoder:
             for at in gaps:
                 got[at] = self.kept[words[at]]
             out.append(b"".join(got))
-        if len(self.kept) > KEPT:
-            self.kept = dict(islice(self.kept.items(), KEPT // 2))
+        if len(self.kept) > (most := KEPT_WORDS if self.by_word else KEPT_BYTES):
+            self.kept = dict(islice(self.kept.items(), most // 2))
         return out
