@@ -6,11 +6,14 @@ import argparse
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from .operators import metrics
+from .operators import metrics, parsing, rendering, triage
 from .plans import stages
 from .sources import config, files
 
+RECORDS = "id string, prompt string, violated_policy string, severity string, domain string, generation_rationale string"
+CALLS = "call_idx long, policy_id string, severity string, model string, count int, content string, ok boolean, error string, finish_reason string"
 JUDGED = "id string, prompt string, violated_policy string, severity string, verdict string, matched_policy_id string, judged_severity string, requires_external_context boolean, judge_error string"
 
 
@@ -18,8 +21,8 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="sievewright")
     sub = parser.add_subparsers(dest="command", required=True)
     for name, options in {
-        "plan": ("config", "output"), "records": ("config", "input", "output"), "judge": ("config", "input", "answers", "output"),
-        "evaluate": ("gold", "predictions"), "sample": ("input", "output"), "score": ("labels", "predictions"),
+        "plan": ("config", "output"), "records": ("config", "input", "output"), "ask": ("config", "input", "output"), "judge": ("config", "input", "answers", "output"),
+        "dedup": ("config", "input", "vectors", "output"), "evaluate": ("gold", "predictions"), "sample": ("input", "output"), "score": ("labels", "predictions"),
     }.items():
         command = sub.add_parser(name)
         for option in options:
@@ -27,21 +30,44 @@ def main(argv: list[str] | None = None) -> None:
         if name == "sample":
             command.add_argument("--n", type=int, default=50)
             command.add_argument("--seed", type=int, default=42)
+        if "config" in options:
+            command.add_argument("--model", help="in place of the settings' one")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("sievewright").getOrCreate()
     run = config.load(args.config) if getattr(args, "config", None) else None
     if args.command == "plan":
-        print(stages.manifest(run, {"digest": files.write_records(stages.requests(spark, run), args.output)}))
+        asked = stages.requests(spark, run, args.model)
+        digest = files.write_records(asked, args.output)
+        sums = asked.agg(F.count("*").alias("calls"), F.sum("count").alias("requested")).first()
+        system = rendering.system_message(run.domain, run.language)
+        print(stages.manifest(run, {"digest": digest, "system": system, "api_calls": sums.calls, "requested": sums.requested or 0}))
     elif args.command == "records":
-        made, failed = stages.build_records(files.read_records(spark, args.input, "call_idx long, policy_id string, severity string, model string, count int, content string, ok boolean, error string, finish_reason string", "call_idx"), run)
-        counts = {"digest": files.write_records(made, f"{args.output}/records")}
-        if not failed.isEmpty():
+        calls = files.read_records(spark, args.input, CALLS, "call_idx")
+        made, failed = stages.build_records(calls, run, stages.requests(spark, run, args.model), stages.policies_of(spark, run))
+        digest = files.write_records(made, f"{args.output}/records")
+        made = spark.read.schema(made.schema).json(f"{args.output}/records")  # as it was written, so that counts don't parse again
+        counts = {"digest": digest, "api_calls": calls.count(), "produced": made.count(), "failures": failed.count(), **stages.counted(made, "severity", "violated_policy", "meta.generator_model")}
+        strategies = calls.where("ok").select(parsing.parse_reply("content").strategy.alias("parse_strategy"))
+        counts |= stages.counted(strategies, "parse_strategy")
+        if counts["failures"]:
             files.write_records(failed, f"{args.output}/failures")
         print(stages.manifest(run, counts))
+    elif args.command == "ask":
+        rows = files.read_records(spark, args.input, RECORDS, required=triage.REQUIRED)
+        print(stages.manifest(run, {"digest": files.write_records(stages.judge_requests(rows, stages.policies_of(spark, run), stages.context_of(spark, run)), args.output)}))
     elif args.command == "judge":
-        rows = files.read_records(spark, args.input, "id string, prompt string, violated_policy string, severity string, domain string, generation_rationale string", required=("id", "prompt", "violated_policy"))
-        done = stages.judge(rows, files.read_records(spark, args.answers, "id string, content string, ok boolean, error string"), run.judge.require_severity_match)
+        rows = files.read_records(spark, args.input, RECORDS, required=triage.REQUIRED)
+        answers = files.read_records(spark, args.answers, "id string, content string, ok boolean, error string")
+        done = stages.judge(rows, answers, run.judge.require_severity_match, stages.policies_of(spark, run), args.model or run.judge.model or run.model, stages.context_of(spark, run))
         done.write.mode("overwrite").partitionBy("destination").json(args.output)
+        done = spark.read.schema(done.schema).json(args.output)
+        print(stages.manifest(run, {"failures": done.where("judge_error IS NOT NULL").count(), **stages.counted(done, "destination", "verdict", "judged_severity")}))
+    elif args.command == "dedup":
+        rows = files.read_records(spark, args.input, "id string, prompt string, violated_policy string, severity string, domain string, generation_rationale string, score double", required=("id", "prompt", "violated_policy"))
+        vectors = files.read_records(spark, args.vectors, "id string, vector array<double>")
+        kept, told, crossing = stages.dedup(rows, vectors, run.semantic_dedup.threshold)
+        digests = {name: files.write_records(df, f"{args.output}/{name}") for name, df in (("retained", kept), ("duplicates", told), ("cross_policy", crossing))}
+        print(stages.manifest(run, {"output_sha256": digests, "threshold": run.semantic_dedup.threshold, "source_records": rows.count(), "retained": kept.count(), "clusters": told.count(), "cross_policy_candidates": crossing.count(), **stages.counted(kept, "violated_policy")}))
     elif args.command == "evaluate":
         gold = files.read_records(spark, args.gold, "id string, policy_id string, gold_verdict string, gold_severity string")
         row = metrics.evaluation(metrics.scored(gold, files.read_records(spark, args.predictions, JUDGED))).first()

@@ -96,3 +96,21 @@ def yield_gate(cells: DataFrame, overall: float = 0.40, cell: float = 0.25, gene
     every = s.select(F.explode(F.array(*[F.struct(F.lit("all").alias("scope"), F.lit(n).alias("name"), ratio(F.col(a), F.col(b)).alias("value"), F.lit(t).alias("threshold"), F.lit(up).alias("at_least")) for n, a, b, t, up in checks])).alias("c")).select("c.*")
     out = by_cell.unionByName(every)
     return out.select("scope", "name", "value", F.coalesce(F.when(F.col("at_least"), F.col("value") >= F.col("threshold")).otherwise(F.col("value") <= F.col("threshold")), F.lit(False)).alias("passed"))
+
+
+def cell_report(plan: DataFrame, records: DataFrame, failed: DataFrame) -> DataFrame:
+    """(policy_id, severity, requested, produced, failed) of every cell that any of the three names.
+
+    plan has count; failed has requested, prompts that its calls asked for, null where one record alone failed.
+    """
+    none = F.lit(0).cast("long")
+    rows = plan.select("policy_id", "severity", F.col("count").cast("long").alias("requested"), none.alias("produced"), none.alias("failed"))
+    rows = rows.unionByName(records.select(F.col("violated_policy").alias("policy_id"), "severity", none.alias("requested"), F.lit(1).cast("long").alias("produced"), none.alias("failed")))
+    rows = rows.unionByName(failed.select("policy_id", "severity", none.alias("requested"), none.alias("produced"), F.coalesce(F.col("requested").cast("long"), F.lit(1)).alias("failed")))
+    return rows.groupBy("policy_id", "severity").agg(*[F.sum(c).alias(c) for c in ("requested", "produced", "failed")])
+
+
+def unsafe_share(labels: DataFrame, by: list[str]) -> DataFrame:
+    """(by, n, unsafe, share) of a calibration's labels; unlabelled rows don't count."""
+    sums = labels.where("gold_verdict IS NOT NULL").groupBy(*by).agg(F.count("*").alias("n"), _when(F.col("gold_verdict") == "violation").alias("unsafe"))
+    return sums.withColumn("share", ratio(F.col("unsafe"), F.col("n")))

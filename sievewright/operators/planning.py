@@ -96,3 +96,9 @@ def pilot_plan(policies: DataFrame, each: int = 5) -> DataFrame:
         raise PlanError("a pilot needs one at least for each cell")
     levels = policies.sparkSession.createDataFrame([(x,) for x in LEVELS], "severity string")
     return policies.select("policy_id").crossJoin(F.broadcast(levels)).withColumn("count", F.lit(each).cast("long"))
+
+
+def pilot_cells(policies: DataFrame, each: int = 5) -> DataFrame:
+    """A pilot's (policy_id, ordinal, severity, level, count), as plan_cells has them."""
+    levels = policies.sparkSession.createDataFrame(list(enumerate(LEVELS)), "level int, severity string")
+    return pilot_plan(policies, each).join(F.broadcast(policies.select("policy_id", "ordinal")), "policy_id").join(F.broadcast(levels), "severity").select("policy_id", "ordinal", "severity", "level", "count")

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import hash_order
+from ..functions.scalars import hash_order, stripped
+
+# What a labeller may write, and what it means.
+LABELS = {"safe": "non_violation", "s": "non_violation", "unsafe": "violation", "u": "violation"}
+
+
+class LabelError(ValueError):
+    pass
 
 
 def stratified(rows: DataFrame, n: int, seed: int = 42, strata: tuple[str, ...] = ("violated_policy", "stratum"), key: str = "id") -> DataFrame:
@@ -21,3 +28,14 @@ def blind_sheet(rows: DataFrame, seed: int = 42, key: str = "id") -> tuple[DataF
     """A sheet (row, prompt) in a hashed order that tells nothing, and the key (row, id, policy, severity) kept apart."""
     numbered = rows.withColumn("row", F.row_number().over(Window.orderBy(hash_order(seed, F.col(key)), F.col(key))))
     return numbered.select("row", "prompt"), numbered.select("row", key, "violated_policy", "severity")
+
+
+def read_labels(sheet: DataFrame, column: str = "label") -> DataFrame:
+    """sheet with gold_verdict; a blank label is null, any other that isn't known is an error and never a verdict."""
+    word = F.lower(stripped(F.coalesce(F.col(column), F.lit(""))))
+    known = F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair])
+    out = sheet.withColumn("gold_verdict", F.try_element_at(known, word))
+    wrong = out.where(F.col("gold_verdict").isNull() & (word != "")).select(column).distinct().orderBy(column).limit(5).collect()
+    if wrong:
+        raise LabelError(f"labels that are neither safe nor unsafe: {[r[0] for r in wrong]}")
+    return out

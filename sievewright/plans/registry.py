@@ -460,3 +460,22 @@ def blind_sheet(spark, sf):
     """Numbers of labelled rows on a blind sheet."""
     rows = views.gold(spark, sf).select(F.col("doc_id").alias("id"), F.lit("p").alias("prompt"), F.lit("x").alias("violated_policy"), F.lit("low").alias("severity"))
     return sampling.blind_sheet(rows)[1].select(F.col("id").alias("doc_id"), F.col("row").cast("long").alias("row"))
+
+
+@_query(f"""WITH {views.JUDGED}, plan AS (SELECT violated_policy AS policy_id, severity, count(*) AS requested FROM judged GROUP BY 1, 2),
+made AS (SELECT violated_policy AS policy_id, severity, count(*) FILTER (judge_error IS NULL) AS produced, 3 * count(*) FILTER (judge_error = 'api') + count(*) FILTER (judge_error = 'parse') AS failed FROM judged GROUP BY 1, 2)
+SELECT p.policy_id, p.severity, requested, produced, failed FROM plan p JOIN made m ON p.policy_id IS NOT DISTINCT FROM m.policy_id AND p.severity = m.severity""")
+def cell_report(spark, sf):
+    """What was asked for, made and lost in each cell; a lost call counts for the three prompts it asked for."""
+    j = views.judged(spark, sf)
+    plan = j.groupBy(F.col("violated_policy").alias("policy_id"), "severity").agg(F.count("*").alias("count"))
+    lost = j.where("judge_error IS NOT NULL").select(F.col("violated_policy").alias("policy_id"), "severity", F.when(F.col("judge_error") == "api", 3).alias("requested"))
+    return metrics.cell_report(plan, j.where("judge_error IS NULL"), lost)
+
+
+@_query(f"WITH {views.RECORDS}, {views.GOLD}, t AS (SELECT violated_policy AS policy_id, severity, gold_verdict FROM gold JOIN records USING (doc_id)) SELECT policy_id, severity, count(*) AS n, count(*) FILTER (gold_verdict = 'violation') AS unsafe, count(*) FILTER (gold_verdict = 'violation')::DOUBLE / count(*) AS share FROM t GROUP BY 1, 2")
+def calibration_shares(spark, sf):
+    """Share of each cell that human labels, written in several ways, call unsafe."""
+    g = views.gold(spark, sf).select("doc_id", F.when(F.col("gold_verdict") == "violation", F.when(F.col("doc_id") % 2 == 0, " Unsafe").otherwise("u")).otherwise(F.when(F.col("doc_id") % 2 == 0, "SAFE ").otherwise("s")).alias("label"))
+    cells = views.records(spark, sf).select("doc_id", F.col("violated_policy").alias("policy_id"), "severity")
+    return metrics.unsafe_share(sampling.read_labels(g).join(cells, "doc_id"), ["policy_id", "severity"])

@@ -10,22 +10,37 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import content_id
+from ..functions.scalars import content_id, stripped
 from ..operators import metrics, parsing, planning, records, rendering, sampling, similarity, triage
 from ..operators.workspace import Workspace, ship
 from ..sources import files
 from ..sources.config import Run
-from ..sources.policies import load_policies, select_policies
+from ..sources.policies import PolicyError, load_policies, select_policies, text_sha256
+
+# Fixed value: what a record says whose reply gave no reason.
+NO_REASON = "(not provided by model)"
+
+
+def context_of(spark: SparkSession, run: Run) -> str:
+    """The block of the run's auxiliary documents, if it has any."""
+    if not run.aux_documents:
+        return ""
+    block = rendering.context_block(files.load_documents(spark, run.aux_documents), run.aux_char_budget).first()
+    return block.block if block and block.n_documents else ""
+
+
+def policies_of(spark: SparkSession, run: Run) -> DataFrame:
+    return select_policies(load_policies(spark, run.policy_file), run.policies)
 
 
 def requests(spark: SparkSession, run: Run, model: str | None = None) -> DataFrame:
     """(call_idx, policy_id, severity, model, chunk, count, user): what a dry run shows and a connector sends."""
-    policies = select_policies(load_policies(spark, run.policy_file), run.policies)
-    context = ""
-    if run.aux_documents:
-        block = rendering.context_block(files.load_documents(spark, run.aux_documents), run.aux_char_budget).first()
-        context = block.block if block and block.n_documents else ""
-    cells = planning.plan_cells(policies.select("policy_id", "ordinal"), run.total, run.severity_ratio or None)
+    policies, context = policies_of(spark, run), context_of(spark, run)
+    known = policies.select("policy_id", "ordinal")
+    if run.stage == "calibration":
+        cells = planning.pilot_cells(known, run.pilot_per_cell)
+    else:
+        cells = planning.plan_cells(known, run.total, run.severity_ratio or None)
     plan = planning.plan_chunks(planning.plan_models(cells, run.effective_generators(model)), run.max_prompts_per_call)
     made = rendering.rendered(plan, policies, run.domain, context)
     order = F.struct("ordinal", "level", "place", "chunk")
@@ -35,35 +50,95 @@ def requests(spark: SparkSession, run: Run, model: str | None = None) -> DataFra
     return made.select((F.row_number().over(Window.orderBy(order)) - 1).cast("long").alias("call_idx"), "policy_id", "severity", "model", "chunk", "count", "user")
 
 
-def build_records(completions: DataFrame, run: Run) -> tuple[DataFrame, DataFrame]:
-    """(records, failures) of (call_idx, policy_id, severity, model, count, content, ok, error, finish_reason)."""
+def build_records(completions: DataFrame, run: Run, asked: DataFrame | None = None, policies: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, failures) of (call_idx, policy_id, severity, model, count, content, ok, error, finish_reason).
+
+    With asked, the requests, and policies, meta tells which texts a record goes back to; else these members are null.
+    """
     ship(completions.sparkSession)
     ok = completions.where("ok").withColumn("p", parsing.parse_reply("content"))
     api = completions.where("NOT coalesce(ok, false)").select("policy_id", "severity", F.col("count").alias("requested"), "error")
     parse = ok.where("p.strategy = 'none'").select("policy_id", "severity", F.col("count").alias("requested"), F.col("p.error").alias("error"), "finish_reason", F.length("content").alias("response_chars"))
     entries = ok.select("policy_id", "call_idx", F.col("count").cast("int").alias("quota"), "severity", "model", F.col("p.strategy").alias("parse_strategy"), F.posexplode("p.prompts").alias("pos", "e")).select("*", F.col("e.prompt").alias("prompt"), F.col("e.generation_rationale").alias("generation_rationale")).drop("e")
     kept = records.quota_trimmed(entries.select("policy_id", "call_idx", "pos", "quota", "prompt")).select("policy_id", "call_idx", "pos", "id")
-    made = entries.join(kept, ["policy_id", "call_idx", "pos"]).withColumn("violated_policy", F.col("policy_id")).withColumn("domain", F.lit(run.domain or "general"))
-    checked = made.withColumn("problems", triage.record_problems(tuple(c for c in triage.REQUIRED if c != "generation_rationale")))
+    reason = F.coalesce(F.nullif(stripped(F.col("generation_rationale")), F.lit("")), F.lit(NO_REASON))
+    made = entries.join(kept, ["policy_id", "call_idx", "pos"]).withColumn("violated_policy", F.col("policy_id")).withColumn("domain", F.lit(run.domain or "general")).withColumn("generation_rationale", reason)
+    checked = made.withColumn("problems", triage.record_problems())
     wrong = checked.where("size(problems) > 0").select("policy_id", "severity", F.array_join("problems", "; ").alias("error"))
-    out = checked.where("size(problems) = 0").select("id", "prompt", "violated_policy", "severity", "domain", "generation_rationale", F.struct("model", "parse_strategy").alias("meta"))
-    return out, triage.failures(api, parse, wrong)
-
-
-def judge(rows: DataFrame, answers: DataFrame, gate: bool = False) -> DataFrame:
-    """rows with (id, content, ok, error) answered by the judge, checked and sent to a destination."""
+    fine = checked.where("size(problems) = 0")
+    none = F.lit(None).cast("string")
+    if policies is None:
+        fine = fine.withColumns({"policy_statement": none, "policy_sha256": none, "policy_version": none})
+    else:
+        fine = fine.join(F.broadcast(policies.select("policy_id", F.col("statement").alias("policy_statement"), F.col("sha256").alias("policy_sha256"), F.col("effective_version").alias("policy_version"))), "policy_id", "left")
+    if asked is None:
+        fine = fine.withColumn("generation_user_sha256", none)
+    else:
+        fine = fine.join(asked.select("call_idx", F.sha2("user", 256).alias("generation_user_sha256")), "call_idx", "left")
+    system = F.lit(text_sha256(rendering.system_message(run.domain, run.language)))
+    meta = F.struct(
+        F.col("model").alias("generator_model"), "model", "parse_strategy", "policy_statement", "policy_sha256", "policy_version",
+        system.alias("generation_system_sha256"), "generation_user_sha256", F.lit(run.run_id or None).cast("string").alias("run_id"),
+    )
+    return fine.select("id", "prompt", "violated_policy", "severity", "domain", "generation_rationale", meta.alias("meta")), triage.failures(api, parse, wrong)
+
+
+def check_policies(rows: DataFrame, policies: DataFrame) -> None:
+    """Raises, with their names, if rows claim policies that the catalog lacks."""
+    lost = rows.select(F.col("violated_policy").alias("policy_id")).distinct().join(F.broadcast(policies.select("policy_id")), "policy_id", "left_anti").orderBy("policy_id").limit(20).collect()
+    if lost:
+        raise PolicyError(f"records claim unknown policies: {[r.policy_id for r in lost]}")
+
+
+def judge_requests(rows: DataFrame, policies: DataFrame, context: str = "") -> DataFrame:
+    """(id, system, judge_user): what a connector sends to the judge."""
+    check_policies(rows, policies)
+    return rendering.judge_requests(rows, policies, context).select("id", F.lit(rendering.JUDGE_SYSTEM).alias("system"), "judge_user")
+
+
+def judge(rows: DataFrame, answers: DataFrame, gate: bool = False, policies: DataFrame | None = None, model: str = "", context: str = "") -> DataFrame:
+    """rows with (id, content, ok, error) answered by the judge, checked and sent to a destination.
+
+    With policies, which must have all that rows claim, columns judge_* tell the model and the texts that it was shown.
+    """
     ship(rows.sparkSession)
     said = rows.join(answers.select("id", "content", "ok", F.col("error").alias("__error")), "id", "left").withColumn("j", parsing.parse_judgment("content", "violated_policy"))
-    failed = F.when(~F.coalesce("ok", F.lit(False)), F.coalesce("__error", F.lit("no answer"))).otherwise(F.col("j.judge_error"))
-    fields = [F.when(F.coalesce("ok", F.lit(False)), F.col(f"j.{c}")).alias(c) for c in ("verdict", "matched_policy_id", "judged_severity", "requires_external_context", "decision_summary")]
+    answered = F.coalesce("ok", F.lit(False))
+    failed = F.when(~answered, F.concat(F.lit("api: "), F.coalesce("__error", F.lit("no answer")))).otherwise(F.concat(F.lit("parse: "), F.col("j.judge_error")))
+    fields = [F.when(answered, F.col(f"j.{c}")).alias(c) for c in ("verdict", "matched_policy_id", "judged_severity", "requires_external_context", "decision_summary")]
     named = said.select(*[F.col(c) for c in rows.columns], *fields, failed.alias("judge_error"))
-    return triage.routed(triage.audited(named, gate))
+    out = triage.routed(triage.audited(named, gate))
+    if policies is None:
+        return out
+    check_policies(rows, policies)
+    compiled = policies.select(F.col("policy_id").alias("violated_policy"), F.col("sha256").alias("judge_policy_sha256"), F.col("effective_version").alias("judge_policy_version"), F.sha2(rendering.judge_policy(), 256).alias("judge_compiled_policy_sha256"))
+    shown = rendering.judge_requests(rows, policies, context).select("id", F.sha2("judge_user", 256).alias("judge_user_sha256"))
+    told = out.join(F.broadcast(compiled), "violated_policy", "left").join(shown, "id", "left").withColumn("judge_model", F.lit(model or None).cast("string"))
+    return told.select(*out.columns, "judge_model", "judge_policy_sha256", "judge_policy_version", "judge_compiled_policy_sha256", "judge_user_sha256")
+
+
+def counted(rows: DataFrame, *columns: str) -> dict[str, dict[str, int]]:
+    """For manifests: how many rows have each value of a few columns of few values; nulls aren't counted."""
+    if not columns:
+        return {}
+    names = [f"__{k}" for k in range(len(columns))]
+    held = rows.select(*[F.col(c).cast("string").alias(n) for c, n in zip(columns, names)])
+    sets = held.groupingSets([[n] for n in names], *names).agg(F.count("*").alias("n"))
+    out: dict[str, dict[str, int]] = {c: {} for c in columns}
+    for r in sets.collect():
+        for c, n in zip(columns, names):
+            if r[n] is not None:
+                out[c][r[n]] = r.n
+    return out
 
 
 def dedup(rows: DataFrame, vectors: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(retained, duplicates, cross-policy pairs) by (id, vector); ids of records are numbered for the join."""
     work = Workspace(rows.sparkSession, "stage-dedup")
     similarity.check_vectors(vectors)
+    bare = rows.select("id").join(vectors.select("id"), "id", "left_anti").limit(5).collect()
+    if bare:
+        raise similarity.VectorError(f"records without a vector: {[r.id for r in bare]}")
     score = F.col("score") if "score" in rows.columns else F.lit(None).cast("double")
     numbered = work.save(rows.select("id", "prompt", F.col("violated_policy").alias("policy"), score.alias("score")).join(vectors, "id").withColumn("text_id", F.col("id")).orderBy("id").withColumn("id", F.monotonically_increasing_id()), "numbered")
     pairs = work.save(similarity.similar_pairs(numbered.select("id", "policy", "vector"), threshold), "pairs")
@@ -106,7 +181,7 @@ def report(result: dict[str, Any]) -> str:
 def manifest(run: Run, counts: dict[str, Any]) -> str:
     """What a run did, without keys."""
     now = datetime.now(timezone.utc)
-    return json.dumps({"run_id": now.strftime("%Y%m%d_%H%M%S_") + uuid.uuid4().hex[:6], "generated_at": now.isoformat(timespec="seconds"), "config": run.shown(), "counts": counts}, ensure_ascii=False, indent=2, sort_keys=True)
+    return json.dumps({"run_id": run.run_id or now.strftime("%Y%m%d_%H%M%S_") + uuid.uuid4().hex[:6], "generated_at": now.isoformat(timespec="seconds"), "config": run.shown(), "counts": counts}, ensure_ascii=False, indent=2, sort_keys=True)
 
 
 def with_ids(rows: DataFrame) -> DataFrame:

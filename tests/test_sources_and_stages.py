@@ -1,7 +1,10 @@
+import hashlib
 import json
 
 import pytest
 
+from sievewright.__main__ import CALLS, main
+from sievewright.operators import sampling
 from sievewright.plans import stages
 from sievewright.sources import config, files
 from sievewright.sources.policies import PolicyError, load_policies, parsed_lines, select_policies
@@ -49,14 +52,26 @@ def test_run_from_requests_to_review(spark, policy_file):
     assert "[Examples]" not in calls[1].user and "[Examples]" in calls[2].user  # no examples at that level
     replies = [(c.call_idx, c.policy_id, c.severity, "m", 2, json.dumps([f"same {c.policy_id}", *[f"{c.policy_id}{c.severity}{k}" for k in range(4)]]), True, None, "stop") for c in calls[:-1]]
     replies.append((5, "B", "high", "m", 2, None, False, "timeout", None))
-    done, failed = stages.build_records(spark.createDataFrame(replies, "call_idx long, policy_id string, severity string, model string, count int, content string, ok boolean, error string, finish_reason string"), run)
+    done, failed = stages.build_records(spark.createDataFrame(replies, CALLS), run)
     prompts = sorted(r.prompt for r in done.collect())
+    assert {r.generation_rationale for r in done.collect()} == {stages.NO_REASON} and done.first().meta.generation_user_sha256 is None
+    full, _ = stages.build_records(spark.createDataFrame(replies, CALLS), run, stages.requests(spark, run), stages.policies_of(spark, run))
+    metas = {(r.violated_policy, r.severity): r.meta for r in full.collect()}
+    users = {(c.policy_id, c.severity): hashlib.sha256(c.user.encode()).hexdigest() for c in calls}
+    assert all(m.generation_user_sha256 == users[k] and m.generator_model == "m" and m.policy_statement == {"A": "甲", "B": "Rule b"}[k[0]] for k, m in metas.items())
+    assert stages.counted(full, "severity", "violated_policy") == {"severity": {"low": 4, "medium": 4, "high": 2}, "violated_policy": {"A": 6, "B": 4}}
     assert len(prompts) == 10 and prompts.count("same A") == prompts.count("same B") == 1  # a repeated prompt is made up for
     assert [(r.stage, r.error) for r in failed.collect()] == [("api", "timeout")]
     said = [(r.id, json.dumps({"verdict": "violation", "matched_policy_id": r.violated_policy, "severity": "low", "requires_external_context": False, "decision_summary": "s"}), True, None) for r in done.collect()]
     said[0] = (said[0][0], "?", True, None)
     judged = stages.judge(done, spark.createDataFrame(said, "id string, content string, ok boolean, error string"))
     assert {r.destination: r["count"] for r in judged.groupBy("destination").count().collect()} == {"accepted": 9, "review": 1}
+    shown = {r.id: r.judge_user for r in stages.judge_requests(done, stages.policies_of(spark, run)).collect()}
+    told = stages.judge(done, spark.createDataFrame(said, "id string, content string, ok boolean, error string"), policies=stages.policies_of(spark, run), model="j").collect()
+    assert len(told) == 10 and all(r.judge_model == "j" and r.judge_user_sha256 == hashlib.sha256(shown[r.id].encode()).hexdigest() for r in told)
+    assert [r.judge_error for r in told if r.judge_error] == ["parse: no JSON object found in judge response"]
+    with pytest.raises(PolicyError, match=r"\['B'\]"):
+        stages.judge_requests(done, select_policies(stages.policies_of(spark, run), ["A"]))
     sheet = stages.worksheet(judged, 4)
     assert sheet.count() == 4 and "verdict" not in sheet.columns
     labels = spark.createDataFrame([(said[0][0], "A", "violation", "low"), (said[1][0], "A", "non_violation", None), (said[2][0], "A", None, None)], "id string, policy_id string, gold_verdict string, gold_severity string")
@@ -67,6 +82,46 @@ def test_run_from_requests_to_review(spark, policy_file):
     assert retained.count() == 2 and told.count() == 2 and crossing.count() == 6 * 4
 
 
+def test_calibration_and_production(spark, policy_file):
+    with pytest.raises(config.ConfigError, match="calibration_run_id"):
+        config.from_mapping({"stage": "production"})
+    with pytest.raises(config.ConfigError, match="stage"):
+        config.from_mapping({"stage": "other"})
+    run = config.from_mapping({"policy_file": policy_file, "stage": "calibration", "pilot_per_cell": 2, "model": "m"})
+    assert [(c.policy_id, c.severity, c["count"]) for c in stages.requests(spark, run).orderBy("call_idx").collect()] == [(p, s, 2) for p in "AB" for s in ("low", "medium", "high")]
+
+
+def test_labels_are_read_or_refused(spark):
+    rows = spark.createDataFrame([("a", " Safe"), ("b", "U"), ("c", None), ("d", " ")], "id string, label string")
+    assert {r.id: r.gold_verdict for r in sampling.read_labels(rows).collect()} == {"a": "non_violation", "b": "violation", "c": None, "d": None}
+    with pytest.raises(sampling.LabelError, match="unsaef"):
+        sampling.read_labels(spark.createDataFrame([("a", "unsaef")], "id string, label string"))
+
+
+def test_commands(spark, policy_file, tmp_path, capsys):
+    def said(*words):
+        capsys.readouterr()
+        main([str(w) for w in words])
+        return json.loads(capsys.readouterr().out)
+
+    (tmp_path / "run.json").write_text(json.dumps({"policy_file": policy_file, "total": 6, "domain": "d", "model": "m", "max_prompts_per_call": 3, "run_id": "r1", "severity_ratio": {"low": 1, "high": 1}}))
+    at = ("--config", tmp_path / "run.json")
+    made = said("plan", *at, "--output", tmp_path / "asked")
+    assert made["run_id"] == "r1" and made["counts"]["requested"] == 6
+    calls = [r.asDict() for r in spark.read.json(str(tmp_path / "asked")).collect()]
+    (tmp_path / "calls.jsonl").write_text("\n".join(json.dumps({**{k: c[k] for k in ("call_idx", "policy_id", "severity", "model", "count")}, "ok": True, "content": json.dumps([f"{c['call_idx']}-{k}" for k in range(c["count"])])}) for c in calls))
+    counts = said("records", *at, "--input", tmp_path / "calls.jsonl", "--output", tmp_path / "made")["counts"]
+    assert counts["produced"] == 6 and counts["failures"] == 0 and counts["parse_strategy"] == {"json": len(calls)} and not (tmp_path / "made/failures").exists()
+    said("ask", *at, "--input", tmp_path / "made/records", "--output", tmp_path / "shown")
+    ids = sorted(r.id for r in spark.read.json(str(tmp_path / "shown")).collect())
+    (tmp_path / "answers.jsonl").write_text("\n".join(json.dumps({"id": i, "ok": True, "content": json.dumps({"verdict": "non_violation", "matched_policy_id": None, "severity": None, "requires_external_context": False, "decision_summary": "s"})}) for i in ids))
+    counts = said("judge", *at, "--input", tmp_path / "made/records", "--answers", tmp_path / "answers.jsonl", "--output", tmp_path / "judged")["counts"]
+    assert counts == {"failures": 0, "destination": {"rejected": 6}, "verdict": {"non_violation": 6}, "judged_severity": {}}
+    (tmp_path / "vectors.jsonl").write_text("\n".join(json.dumps({"id": i, "vector": [1.0, k % 2]}) for k, i in enumerate(ids)))
+    counts = said("dedup", *at, "--input", tmp_path / "made/records", "--vectors", tmp_path / "vectors.jsonl", "--output", tmp_path / "kept")["counts"]
+    assert counts["source_records"] == 6 and counts["retained"] + sum(len(r.duplicate_ids) for r in spark.read.json(str(tmp_path / "kept/duplicates")).collect()) == 6 and counts["clusters"] > 0
+
+
 def test_records_files(spark, tmp_path):
     (tmp_path / "r.jsonl").write_text('{"id":"a","x":" "}\n\n{"id":"b"}\n', encoding="utf-8")
     rows = files.read_records(spark, str(tmp_path / "r.jsonl"), "id string, x string")
