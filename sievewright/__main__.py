@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> None:
         digest = files.write_records(asked, args.output)
         sums = asked.agg(F.count("*").alias("calls"), F.sum("count").alias("requested")).first()
         system = rendering.system_message(run.domain, run.language)
-        print(stages.manifest(run, {"digest": digest, "system": system, "api_calls": sums.calls, "requested": sums.requested or 0}))
+        print(stages.manifest(run, {"digest": digest, "system": system, "api_calls": sums.calls, "requested": sums.requested or 0, **stages.sources(spark, run)}))
     elif args.command == "records":
         calls = files.read_records(spark, args.input, CALLS, "call_idx")
         made, failed = stages.build_records(calls, run, stages.requests(spark, run, args.model), stages.policies_of(spark, run))
@@ -49,6 +49,7 @@ def main(argv: list[str] | None = None) -> None:
         counts = {"digest": digest, "api_calls": calls.count(), "produced": made.count(), "failures": failed.count(), **stages.counted(made, "severity", "violated_policy", "meta.generator_model")}
         strategies = calls.where("ok").select(parsing.parse_reply("content").strategy.alias("parse_strategy"))
         counts |= stages.counted(strategies, "parse_strategy")
+        counts |= stages.sources(spark, run)
         if counts["failures"]:
             files.write_records(failed, f"{args.output}/failures")
         print(stages.manifest(run, counts))

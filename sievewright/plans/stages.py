@@ -83,6 +83,12 @@ def build_records(completions: DataFrame, run: Run, asked: DataFrame | None = No
     return fine.select("id", "prompt", "violated_policy", "severity", "domain", "generation_rationale", meta.alias("meta")), triage.failures(api, parse, wrong)
 
 
+def sources(spark: SparkSession, run: Run) -> dict[str, Any]:
+    """For manifests: digests of the files that a run reads, and versions of its policies."""
+    versions = {r.policy_id: {"version": r.effective_version, "sha256": r.sha256} for r in policies_of(spark, run).select("policy_id", "effective_version", "sha256").collect()}
+    return {"policy_file_sha256": files.file_digest(spark, run.policy_file), "aux_document_sha256": {p: files.file_digest(spark, p) for p in run.aux_documents}, "policies": versions}
+
+
 def check_policies(rows: DataFrame, policies: DataFrame) -> None:
     """Raises, with their names, if rows claim policies that the catalog lacks."""
     lost = rows.select(F.col("violated_policy").alias("policy_id")).distinct().join(F.broadcast(policies.select("policy_id")), "policy_id", "left_anti").orderBy("policy_id").limit(20).collect()

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,15 @@ def write_records(df: DataFrame, path: str) -> str:
     return hashlib.sha256(json.dumps(list(map(int, (x or 0 for x in row)))).encode()).hexdigest()
 
 
+def file_digest(spark: SparkSession, path: str) -> str | None:
+    """SHA-256 of a small file's bytes, through Spark's reader; null if it can't be read."""
+    try:
+        found = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("d")).take(2)
+    except (AnalysisException, Py4JError):
+        return None
+    return found[0].d if len(found) == 1 else None
+
+
 def aux_text(line: str) -> str:
     """Text of one line of an auxiliary JSON file: its first text field, a bare string, or the line as it is."""
     try:

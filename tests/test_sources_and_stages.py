@@ -108,6 +108,9 @@ def test_commands(spark, policy_file, tmp_path, capsys):
     at = ("--config", tmp_path / "run.json")
     made = said("plan", *at, "--output", tmp_path / "asked")
     assert made["run_id"] == "r1" and made["counts"]["requested"] == 6
+    with open(policy_file, "rb") as f:
+        assert made["counts"]["policy_file_sha256"] == hashlib.sha256(f.read()).hexdigest() and made["counts"]["policies"]["B"]["version"] == "7"
+    assert files.file_digest(spark, str(tmp_path / "none")) is None
     calls = [r.asDict() for r in spark.read.json(str(tmp_path / "asked")).collect()]
     (tmp_path / "calls.jsonl").write_text("\n".join(json.dumps({**{k: c[k] for k in ("call_idx", "policy_id", "severity", "model", "count")}, "ok": True, "content": json.dumps([f"{c['call_idx']}-{k}" for k in range(c["count"])])}) for c in calls))
     counts = said("records", *at, "--input", tmp_path / "calls.jsonl", "--output", tmp_path / "made")["counts"]
