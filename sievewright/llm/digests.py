@@ -7,7 +7,10 @@ entropy are never features. Distinct features go to filters of BITS bits, HASHES
 filter, chained in order of the text. Likeness is the share of common bits above what chance gives, of the most that
 there can be; the shorter chain looks for its best partners in the longer.
 
-A text of fewer than SHORT code points uses all its windows of GRAM bytes as features, one below GRAM bytes itself. Null
+Texts of fewer than LONG code points have all their windows of GRAM bytes as features besides, longer ones those with no
+improbable window within GAP bytes; these grams fill filters of their own after the others. So texts of any two lengths
+share a kind of features wherever they share a stretch, unless one is below SHORT code points, which has grams only, and
+the other above LONG. A text below GRAM bytes is a feature itself. Only the empty text has none. Null
 counts as empty, whose digest has no feature: two such are alike (1.0), and unlike all others (0.0). With one row, the
 next document is the row itself; equal doc_ids follow each other by text; null doc_ids come last; an empty table gives
 no rows. Other columns are ignored.
@@ -30,6 +33,8 @@ from .workspace import documents, partitions
 WIDTH, RUN, COMMON, WEAK = 64, 64, 16, 100
 BITS, HASHES, FEATURES = 2048, 5, 160
 SHORT, GRAM, CHUNK = 160, 8, 1 << 18
+#: Code points below which all grams count, and how far from a window, in bytes, they do in longer texts.
+LONG, GAP = 1024, 512
 
 _c = np.arange(WIDTH + 1)
 _weight = np.rint(_c * np.log2(np.maximum(_c, 1)) * (1 << 20)).astype(np.int64)
@@ -111,18 +116,23 @@ def _hashed(x: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
     return _mixed(out)
 
 
-def features(texts: list[str], rank: np.ndarray) -> list[np.ndarray]:
-    """64-bit features of each text, in order, each once."""
+def _distinct(h: np.ndarray) -> np.ndarray:
+    return h[np.sort(np.unique(h, return_index=True)[1])] if len(h) > 1 else h
+
+
+def features(texts: list[str], rank: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """64-bit features of each text: improbable windows and grams, each kind in order, each once."""
     data = [t.encode("utf-8", "surrogatepass") for t in texts]
-    out: list[np.ndarray] = [np.empty(0, np.uint64)] * len(texts)
+    none = np.empty(0, np.uint64)
+    out = [(none, none)] * len(texts)
     long = []
     for k, (t, b) in enumerate(zip(texts, data)):
         if len(t) >= SHORT:
             long.append(k)
         elif len(b) >= GRAM:
-            out[k] = _hashed(x := np.frombuffer(b, np.uint8), np.arange(GRAM - 1, len(x)), GRAM)
+            out[k] = none, _distinct(_hashed(x := np.frombuffer(b, np.uint8), np.arange(GRAM - 1, len(x)), GRAM))
         elif b:
-            out[k] = np.array([int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little")], np.uint64)
+            out[k] = none, np.array([int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little")], np.uint64)
     for some in _chunks([data[k] for k in long]):
         some = [long[k] for k in some]
         x = np.frombuffer(b"".join(data[k] for k in some), np.uint8)
@@ -143,11 +153,13 @@ def features(texts: list[str], rank: np.ndarray) -> list[np.ndarray]:
         at = np.flatnonzero(noted >= COMMON)
         hashes = _hashed(x, at, WIDTH)
         cuts = np.searchsorted(at, ends)
-        for k, a, b in zip(some, np.r_[0, cuts[:-1]].tolist(), cuts.tolist()):
-            out[k] = hashes[a:b]
-    for k, h in enumerate(out):
-        if len(h) > 1:
-            out[k] = h[np.sort(np.unique(h, return_index=True)[1])]
+        for k, s, e, a, b in zip(some, starts.tolist(), ends.tolist(), np.r_[0, cuts[:-1]].tolist(), cuts.tolist()):
+            lone = np.ones(e - s, bool)
+            lone[: GRAM - 1] = False
+            if len(texts[k]) >= LONG:
+                for w in (at[a:b] - s).tolist():
+                    lone[max(0, w - GAP) : w + GAP + 1] = False
+            out[k] = _distinct(hashes[a:b]), _distinct(_hashed(x, np.flatnonzero(lone) + s, GRAM))
     return out
 
 
@@ -161,6 +173,11 @@ def filters(h: np.ndarray) -> np.ndarray:
     return bits.reshape(n, BITS)
 
 
+def chain(made: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The filters of a text's windows, then those of its grams."""
+    return np.concatenate([filters(h) for h in made])
+
+
 def fingerprint(bits: np.ndarray) -> str:
     return base64.b64encode(np.packbits(bits, axis=1).tobytes()).decode()
 
@@ -208,7 +225,7 @@ def digests(docs: DataFrame) -> DataFrame:
     def done(ids: list, texts: list[str]) -> pa.RecordBatch:
         """texts has the one after the last besides."""
         changed = [edited(t, u) for t, u in zip(texts, texts[1:])]
-        made = [filters(h) for h in features([*texts, *changed], rank)]
+        made = [chain(h) for h in features([*texts, *changed], rank)]
         own, new = made[: len(texts)], made[len(texts) :]
         return pa.RecordBatch.from_pydict({
             "doc_id": pa.array(ids, pa.int64()), "n_chars": pa.array([len(t) for t in texts[:-1]], pa.int64()),

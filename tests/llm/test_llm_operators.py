@@ -311,3 +311,16 @@ def test_likeness_is_symmetric_and_bounded():
     for n, m in ((0, 0), (0, 5), (10, 400), (200, 200), (700, 30)):
         a, b = (digests.filters(rng.integers(0, 1 << 63, k, dtype=np.uint64)) for k in (n, m))
         assert digests.likeness(a, b) == digests.likeness(b, a) and 0 <= digests.likeness(a, b) <= 1 and digests.likeness(a, a) == pytest.approx(1)
+
+
+def test_digests_of_texts_with_few_improbable_windows(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(400)]
+    texts = [" ".join(rng.choice(words, 200))[:n] for n in (150, 161, 170, 185, 200, 215, 240, 300, 390, 1030)] + ["x" * 500, "y" * 3000, " ".join(rng.choice(words, 400)), "x" * 2000, ""]
+    rows = sorted(digests.digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert [r.fingerprint == "" for r in rows] == [t == "" for t in texts]
+    assert all(r.near_edited > 0.2 for r in rows[:-1]) and rows[0].near_next == 0.0 and rows[14].near_next == 0.0
+    rank = digests.ranks(digests.entropy_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
+    for n in (*range(150, 180), *range(1010, 1040)):
+        whole, part = digests.features([texts[12][:n], texts[12][: n - n // 4]], rank)
+        assert digests.likeness(digests.chain(whole), digests.chain(part)) > 0.5
