@@ -87,10 +87,10 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, raw, shape): documents' texts as untidy replies of five shapes."""
+    """(doc_id, raw, shape): documents' whole texts as untidy replies of five shapes; a labelled line has blanks for line breaks."""
     d = table(spark, sf_dir, "documents").where("text IS NOT NULL")
     item = F.to_json(F.struct(F.col("text").alias("prompt"), F.lit("why").alias("rationale")))
-    line = F.regexp_replace(F.substring("text", 1, 80), r"[\r\n]", " ")
+    line = F.regexp_replace("text", r"[\r\n]", " ")
     shapes = [
         ("json", F.concat(F.lit('{"prompts": ['), item, F.lit("]}"))),
         ("json_fence", F.concat(F.lit("Here:\n```json\n"), item, F.lit("\n```\nDone."))),

@@ -4,7 +4,8 @@ import pytest
 from conftest import DATA, plain
 
 import __spark_entry__
-from sievewright.plans import registry
+from sievewright.operators import parsing
+from sievewright.plans import registry, views
 
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))
@@ -27,3 +28,10 @@ def test_quota_fold_matches_python(spark):
             left[lang, call] -= 1
             want.add((lang, call, pos))
     assert got == want
+
+
+def test_labelled_replies_hold_whole_texts(spark):
+    d = views.replies(spark, DATA).where("shape = 'freeform'").select("text", parsing.parse_reply("raw").alias("p")).collect()
+    want = [("p" + r.text.replace("\r", " ").replace("\n", " ")).strip() for r in d]
+    assert max(map(len, want)) > 10_000 and all(r.p.strategy == "freeform" for r in d)
+    assert [[(e.prompt, e.generation_rationale) for e in r.p.prompts] for r in d] == [[(w, "why")] for w in want]
