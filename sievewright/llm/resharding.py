@@ -5,9 +5,11 @@ hash, and blocks above a share of the total to parts by a second hash, so that t
 sizes. A minimum-cost flow from old sizes to new capacities, at no cost where old and new number agree and a byte's cost
 elsewhere, says how much each shard sends where; laid end to end, the parts of an old shard are cut at these amounts.
 A part on a cut is dealt row by row, by the row's middle. Equal texts are neighbours, so that only cuts part them.
+`resharded` writes the shards that gain or lose a row, in ranges of their slots, each row as it streams by (so that no
+key has to be unique), and gives the places as the written files have them; `plan` only plans.
 
 Null texts count 16 bytes and the checksum of no bytes; repeated rows are rows of their own; an empty table gives no
-rows. Columns other than doc_id and text are ignored by the plan and kept by `rewrite`.
+rows. Columns other than doc_id and text are ignored by the plan and kept in what is written.
 """
 
 from __future__ import annotations
@@ -16,14 +18,20 @@ from bisect import bisect_right
 from collections import defaultdict
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .workspace import Workspace, documents
+from .workspace import Workspace, documents, partitions
 
 OLD_SHARDS, SHARDS = 32, 40
 #: Blocks in all, at least and at most, and the bytes of a block in between.
 BLOCKS, BLOCKS_AT_MOST, BLOCK_BYTES = 4096, 1 << 18, 1 << 30
+#: Bytes of a range that one task writes.
+RANGE_BYTES = 1 << 27
+
+_PART = ("old_shard", "block", "part")
+_ORDER = ("h", "doc_id", "size")
 
 
 def fewest_moves(supply: list[int], capacity: list[int]) -> dict[tuple[int, int], int]:
@@ -83,26 +91,49 @@ def fewest_moves(supply: list[int], capacity: list[int]) -> dict[tuple[int, int]
     return moves
 
 
-def plan(docs: DataFrame, old_shards: int = OLD_SHARDS, shards: int = SHARDS) -> DataFrame:
-    """(doc_id, size, text_crc32, old_shard, shard, slot)."""
-    spark = docs.sparkSession
-    work = Workspace(spark, "resharding")
+def _numbers(old_shards: int) -> list[Column]:
+    """(doc_id, size, text_crc32, h, old_shard) of a row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"))
-    rows = work.save(rows.withColumn("old_shard", F.pmod("h", F.lit(old_shards)).cast("int")), "rows")
+    h = F.xxhash64(text)
+    return [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), h.alias("h"), F.pmod(h, F.lit(old_shards)).cast("int").alias("old_shard")]
+
+
+def _block(each: int) -> Column:
+    return F.pmod(F.shiftright("h", 12), F.lit(each)).cast("int")
+
+
+def _in_parts(rows: DataFrame, each: int, big: DataFrame) -> DataFrame:
+    """Adds block and part."""
+    cut = F.coalesce("cut", F.lit(1))
+    rows = rows.withColumn("block", _block(each)).join(F.broadcast(big), ["old_shard", "block"], "left")
+    return rows.withColumn("part", F.when(cut > 1, F.pmod(F.xxhash64("doc_id", "size"), cut)).otherwise(F.lit(0)).cast("int")).drop("cut")
+
+
+def _middle() -> Column:
+    """Of a row, in bytes from the start of its part."""
+    return F.sum("size").over(Window.partitionBy(*_PART).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2
+
+
+def _target() -> Column:
+    return F.col("targets")[F.size(F.filter("ends", lambda e: e <= F.col("middle")))]
+
+
+def _dealt(docs: DataFrame, old_shards: int, shards: int, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame, int, int]:
+    """Rows without their texts with shard and rank in their part; cuts of parts; cut blocks; blocks a shard; bytes."""
+    spark = docs.sparkSession
+    rows = work.save(docs.select(*_numbers(old_shards)), "rows")
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
     blocks = min(max(BLOCKS, total // BLOCK_BYTES), BLOCKS_AT_MOST)
-    rows = rows.withColumn("block", F.pmod(F.shiftright("h", 12), F.lit(max(1, blocks // old_shards))).cast("int"))
+    each = max(1, blocks // old_shards)
     # a block above twice its even share is cut; there are at most as many parts as blocks and half as many again
     share = max(1, 2 * total // blocks)
-    big = rows.groupBy("old_shard", "block").agg(F.ceil(F.sum("size") / F.lit(share)).alias("cut")).where("cut > 1")
-    cut = F.coalesce("cut", F.lit(1))
-    parted = rows.join(F.broadcast(big), ["old_shard", "block"], "left").withColumn("part", F.when(cut > 1, F.pmod(F.xxhash64("doc_id", "size"), cut)).otherwise(F.lit(0)).cast("int")).drop("cut")
-    in_part = Window.partitionBy("old_shard", "block", "part").orderBy("h", "doc_id", "size")
-    parted = work.save(parted.select("*", F.row_number().over(in_part).alias("rank"), (F.sum("size").over(in_part.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2).alias("middle")).drop("h"), "parted")
+    big = rows.groupBy("old_shard", _block(each).alias("block")).agg(F.ceil(F.sum("size") / F.lit(share)).alias("cut")).where("cut > 1")
+    big = spark.createDataFrame(big.collect(), "old_shard int, block int, cut long")
+    in_part = Window.partitionBy(*_PART).orderBy(*_ORDER)
+    parted = work.save(_in_parts(rows, each, big).select("*", F.row_number().over(in_part).alias("rank"), _middle().alias("middle")).drop("h"), "parted")
     work.drop("rows")
 
-    sizes = sorted(map(tuple, parted.groupBy("old_shard", "block", "part").agg(F.sum("size").alias("n")).collect()))
+    sizes = sorted(map(tuple, parted.groupBy(*_PART).agg(F.sum("size").alias("n")).collect()))
     supply = [0] * old_shards
     for old, _, _, n in sizes:
         supply[old] += n
@@ -119,27 +150,68 @@ def plan(docs: DataFrame, old_shards: int = OLD_SHARDS, shards: int = SHARDS) ->
         cuts.append((old, block, part, targets[first : last + 1], [float(e - at[old]) for e in ends[first:last]]))
         at[old] += n
     cuts = spark.createDataFrame(cuts, "old_shard int, block int, part int, targets array<int>, ends array<double>")
-    dealt = parted.join(F.broadcast(cuts), ["old_shard", "block", "part"]).withColumn("shard", F.col("targets")[F.size(F.filter("ends", lambda e: e <= F.col("middle")))]).drop("targets", "ends")
-    pieces = dealt.groupBy("shard", "old_shard", "block", "part").agg(F.min("rank").alias("first"), F.count("*").alias("n")).collect()
+    return parted.join(F.broadcast(cuts), list(_PART)).withColumn("shard", _target()).drop("targets", "ends", "middle"), cuts, big, each, total
+
+
+def _placed(dealt: DataFrame) -> DataFrame:
+    """(doc_id, size, text_crc32, old_shard, shard, slot) by the order of parts in a shard and of ranks in a part."""
+    pieces = dealt.groupBy("shard", *_PART).agg(F.min("rank").alias("first"), F.count("*").alias("n")).collect()
     base, before = [], defaultdict(int)
     for r in sorted(pieces):
         base.append((r.shard, r.old_shard, r.block, r.part, before[r.shard] - r.first))
         before[r.shard] += r.n
-    bases = spark.createDataFrame(base, "shard int, old_shard int, block int, part int, base long")
-    return dealt.join(F.broadcast(bases), ["shard", "old_shard", "block", "part"]).select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("base") + F.col("rank")).alias("slot"))
+    bases = dealt.sparkSession.createDataFrame(base, "shard int, old_shard int, block int, part int, base long")
+    return dealt.join(F.broadcast(bases), ["shard", *_PART]).select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("base") + F.col("rank")).alias("slot"))
+
+
+def plan(docs: DataFrame, old_shards: int = OLD_SHARDS, shards: int = SHARDS) -> DataFrame:
+    """(doc_id, size, text_crc32, old_shard, shard, slot)."""
+    return _placed(_dealt(docs, old_shards, shards, Workspace(docs.sparkSession, "resharding"))[0])
+
+
+def _affected(planned: DataFrame) -> DataFrame:
+    """Shards that gain or lose a row."""
+    return planned.where("old_shard != shard").select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
+
+
+def resharded(docs: DataFrame, folder: str | None = None, old_shards: int = OLD_SHARDS, shards: int = SHARDS) -> DataFrame:
+    """Writes the affected shards to the folder, or one of its own, partitioned by __shard; gives what `plan` gives.
+
+    The rows of written shards are numbered as read back from there; the others stay where they are.
+    """
+    spark = docs.sparkSession
+    work = Workspace(spark, "resharding")
+    folder = folder or f"{work.path}/shards"
+    dealt, cuts, big, each, total = _dealt(docs, old_shards, shards, work)
+    affected = sorted(r.shard for r in _affected(dealt).collect())
+    rows = _in_parts(docs.select(F.struct("*").alias("row"), *_numbers(old_shards)), each, big).join(F.broadcast(cuts), list(_PART))
+    uncut = rows.where(F.size("targets") == 1).withColumn("shard", F.col("targets")[0])
+    cut = rows.where(F.size("targets") > 1).withColumn("middle", _middle()).withColumn("shard", _target()).drop("middle")
+    going = uncut.unionByName(cut).where(F.col("shard").isin(affected))
+    going = going.repartitionByRange(max(partitions(spark), total // RANGE_BYTES), "shard", *_PART, *_ORDER).sortWithinPartitions("shard", *_PART, *_ORDER)
+    going.select("row.*", F.col("shard").alias("__shard")).write.mode("overwrite").option("compression", "zstd").partitionBy("__shard").parquet(folder)
+
+    back = spark.read.schema(StructType([*docs.schema.fields, StructField("__shard", IntegerType())])).parquet(folder)
+    back = _in_parts(back.select(*_numbers(old_shards), F.col("__shard").alias("shard")), each, big)
+    back = back.withColumn("rank", F.row_number().over(Window.partitionBy("shard", *_PART).orderBy(*_ORDER))).drop("h")
+    return _placed(work.save(back.unionByName(dealt.where(~F.col("shard").isin(affected))), "placed"))
 
 
 def rewrite(docs: DataFrame, planned: DataFrame, folder: str) -> DataFrame:
     """Writes the shards that gain or lose a row, partitioned by shard, and returns (shard, n_rows) of those written.
 
-    doc_id must be unique here, as it says which row goes where.
+    Rows of one doc_id, size and checksum are counted off on both sides, so that each goes to one place.
     """
-    left = planned.where("old_shard != shard").select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
-    where = planned.join(F.broadcast(left), "shard").select(F.col("doc_id").alias("__doc_id"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
-    rows = docs.join(where, docs["doc_id"].eqNullSafe(where["__doc_id"])).drop("__doc_id")
+    key = ("doc_id", "size", "text_crc32")
+    nth = F.row_number().over(Window.partitionBy(*(f"__{c}" for c in key)).orderBy(F.lit(0)))
+    ours = docs.select(F.struct("*").alias("row"), *(c.alias(f"__{n}") for n, c in zip(key, _numbers(1)))).withColumn("__nth", nth)
+    where = planned.select(*(F.col(c).alias(f"__{c}") for c in (*key, "shard", "slot"))).withColumn("__nth", nth)
+    where = where.join(F.broadcast(_affected(planned).withColumnRenamed("shard", "__shard")), "__shard")
+    on = [ours[c].eqNullSafe(where[c]) for c in (*(f"__{c}" for c in key), "__nth")]
+    rows = ours.join(where, on).select("row.*", "__shard", "__slot")
     rows.repartition("__shard", F.floor(F.col("__slot") / 100_000)).sortWithinPartitions("__shard", "__slot").write.mode("overwrite").partitionBy("__shard").parquet(folder)
     return docs.sparkSession.read.parquet(folder).groupBy(F.col("__shard").alias("shard")).agg(F.count("*").alias("n_rows"))
 
 
 def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan(documents(spark, sf_dir)).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    return resharded(documents(spark, sf_dir)).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")

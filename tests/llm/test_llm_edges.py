@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and further columns, for every operator and stage."""
 
+import pathlib
+
 import pytest
 from conftest import DATA
 
@@ -89,3 +91,28 @@ def test_stages(spark, odd, name, stage):
 def test_pipeline_runs_whole(spark):
     rows = corpus_pipeline.run(spark, DATA).toPandas()
     assert len(rows) > 0 and rows.groupby("sequence_id")["length"].sum().max() <= 1024
+
+
+def test_shards_are_written_whole(spark, odd, tmp_path):
+    docs = odd.unionByName(odd).unionByName(odd)
+    for got in (resharding.resharded(docs, str(tmp_path / "s"), 8, 10), resharding.resharded(docs.limit(0))):
+        assert got.columns == resharding.plan(odd).columns
+    planned = resharding.plan(docs, 8, 10)
+    got = resharding.resharded(docs, str(tmp_path / "s"), 8, 10)
+    assert sorted(map(str, got.collect())) == sorted(map(str, planned.collect()))
+    gone = {x for r in planned.where("old_shard != shard").collect() for x in (r.old_shard, r.shard)}
+    written = spark.read.parquet(str(tmp_path / "s"))
+    want = sorted((r.shard, str(r.doc_id), r.size) for r in planned.collect() if r.shard in gone)
+    assert want and sorted((r["__shard"], str(r.doc_id), len((r.text or "").encode()) + 16) for r in written.collect()) == want
+    if len(want) == docs.count():
+        assert sorted(map(str, written.drop("__shard").collect())) == sorted(map(str, docs.collect()))
+    assert resharding.rewrite(docs, planned, str(tmp_path / "r")).agg({"n_rows": "sum"}).first()[0] == len(want)
+
+
+def test_op9_gives_places_as_written(spark):
+    rows = resharding.op9_resharding(spark, DATA).collect()
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    folder = max(root.glob("resharding-*/shards"), key=lambda p: p.stat().st_mtime)
+    written = spark.read.parquet(f"file://{folder}").collect()
+    affected = {x for r in rows if r.old_shard != r.shard for x in (r.old_shard, r.shard)}
+    assert affected and sorted((r["__shard"], r.doc_id) for r in written) == sorted((r.shard, r.doc_id) for r in rows if r.shard in affected)
