@@ -6,8 +6,10 @@ that `training_lines` draws from a fixed seed (no table is read), and decoded by
 or more that touch no base span are added as kind ``crf``.
 
 A tag that a token's shape rules out has no weight, in training and in decoding: plain words, marks and key words are O,
-a full stop is O or I. So only stretches around digits and long mixed tokens can hold a secret, and only those are
-decoded, NEAR code points and the rest of a token to each side; neighbours further off than that aren't seen.
+a full stop is O or I. Letters of one case, or with capitals at the start of their pieces only, are plain words below 24
+of them; others of LEAST or more may be secrets, which the field learns where a key word leads them. So stretches around
+digits, long mixed tokens and key words can hold a secret, and only those are decoded, NEAR code points and the rest of a
+token to each side; neighbours further off than that aren't seen.
 
 Null texts count as empty and have no spans; repeated rows are scanned each; an empty table gives no rows. Other columns
 are ignored by the query and kept by `redacted`. A text's length only adds tokens near digits to what is held at once.
@@ -40,6 +42,7 @@ MASK = "[secret]"
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]+|[^\sA-Za-z0-9+/_-]")
 _DIGITS = re.compile(r"[0-9]+")
+_LETTERS = re.compile(r"[A-Za-z]+")
 _LONG = re.compile(r"[A-Za-z+/_-]{24,}")
 _KEY = re.compile(b"|".join((*KEYS, *MORE_KEYS)).decode(), re.IGNORECASE | re.ASCII)
 _HEXES = bytes(97 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
@@ -68,7 +71,11 @@ def shape(token: str) -> str:
         return "key"
     digits, lower, upper = (any(f(c) for c in token) for f in (str.isdigit, str.islower, str.isupper))
     if not digits:
-        return "word" if len(token) < 24 or not (lower and upper) else "long"
+        if not (lower and upper) or len(token) < LEAST:
+            return "word"
+        if len(token) >= 24:
+            return "long"
+        return "word" if all(x.islower() or x.isupper() or x.istitle() for x in _LETTERS.findall(token)) else "cased"
     if not (lower or upper):
         return "number"
     kind = "all" if lower and upper else "hex" if lower and all(c in "0123456789abcdef" for c in token) else "lower" if lower else "upper"
@@ -111,16 +118,20 @@ def training_lines(seed: int = 7, lines: int = LINES) -> list[tuple[list[str], l
         secret, shown = "", ""
         if kind < 0.5:
             secret = rng.choice([lambda: some(digits + "abcdef", 18, 64), lambda: some(digits + low, 16, 40), lambda: some(digits + low + up, 16, 48), lambda: some(digits + up, 16, 32), lambda: some(digits + low + up + "_-", 20, 60), lambda: ".".join(some(digits + low + up, 18, 40) for _ in range(3))])()
-            if not any(c in digits for c in secret) or (secret.isupper() and secret.isalpha()):
+            bare = rng.random() < 0.15
+            if bare:
+                secret = some(low + up, LEAST, 40)
+            if ruled_out(shape(secret.split(".")[0]))[B] or not bare and not any(c in digits for c in secret):
                 secret = ""
             name = rng.choice(["password", "passwd", "secret", "token", "api_key", "apikey", "TOKEN", "Secret", "credential", "bearer", "private_key"])
-            shown = rng.choice([f"{name}={secret}", f"{name}: {secret}", f'{name} = "{secret}"', f"{name}: '{secret}'", f'"{name}": "{secret}"', f"{secret}", f"{name} {secret}"])
+            shown = rng.choice([f"{name}={secret}", f"{name}: {secret}", f'{name} = "{secret}"', f"{name}: '{secret}'", f'"{name}": "{secret}"', f"{name} {secret}", *([] if bare else [f"{secret}"])])
         elif kind < 0.85:
             shown = rng.choice([
                 lambda: f"{rng.randint(1, 31)}.{rng.randint(1, 12)}.{rng.randint(1950, 2030)}", lambda: f"+{rng.randint(1, 99)} ({some(digits, 3, 3)}) {some(digits, 3, 3)}-{some(digits, 4, 4)}",
                 lambda: some(digits, 1, 19), lambda: f"{word()}.{some(digits, 1, 4)}@{word()}{rng.randint(0, 9)}.{word()}.com", lambda: ".".join(some(digits, 1, 3) for _ in range(4)),
                 lambda: f"{word()}{some(digits, 1, 4)}", lambda: f"v{rng.randint(0, 9)}.{rng.randint(0, 99)}", lambda: f"{some(up, 1, 3)}{some(digits, 2, 6)}", lambda: f"http://{word()}.com/{word()}/{some(digits, 1, 8)}",
-                lambda: f"{rng.choice(['password', 'token', 'secret'])} {word()}", lambda: f"{rng.choice(['Token', 'secret'])}: {word()} {word()}", lambda: f"{word()}_{some(digits, 1, 6)}", lambda: f"{word()}={some(digits, 1, 5)}",
+                lambda: f"{rng.choice(['password', 'token', 'secret'])} {word()}", lambda: f"{rng.choice(['Token', 'secret'])}: {word()} {word()}", lambda: f"{word()}_{some(digits, 1, 6)}", lambda: f"{word()}={some(digits, 1, 5)}", lambda: "".join(word().capitalize() for _ in range(rng.randint(2, 4))),
+                lambda: word() + "".join(word().capitalize() for _ in range(rng.randint(1, 3))), lambda: some(low + up, LEAST, 40), lambda: f"{some(low + up, LEAST, 40)}: {word()}",
             ])()
         at = rng.randint(0, len(around))
         text = " ".join([*around[:at], shown, *around[at:]])
@@ -200,10 +211,12 @@ def trained(rounds: int = ROUNDS, ridge: float = 1e-4) -> Field:
     return Field(names, w, t + never)
 
 
-def _windows(text: str) -> list[tuple[int, int]]:
-    """Stretches, cut at white space, around all that isn't a plain word."""
+def _windows(text: str, low: bytes) -> list[tuple[int, int]]:
+    """Stretches, cut at white space, around all that isn't a plain word, and key words."""
     marks = [(m.start(), m.end()) for m in _DIGITS.finditer(text)]
     marks += [(m.start(), m.end()) for m in _LONG.finditer(text)]
+    if any(k in low for k in (*KEYS, *MORE_KEYS)):
+        marks += [(m.start(), m.end()) for m in _KEY.finditer(text)]
     out: list[tuple[int, int]] = []
     for a, b in sorted(marks):
         if out and b <= out[-1][1] - NEAR:
@@ -223,8 +236,8 @@ def _windows(text: str) -> list[tuple[int, int]]:
 def field_spans(text: str, low: bytes, field: Field) -> list[tuple[int, int]]:
     """(start, end) of the secrets that the field tags."""
     out, file = [], None
-    for a, b in _windows(text):
-        spans = [(m.start() + a, m.end() + a, shape(m[0]) if len(m[0]) < 64 else shape(m[0][:64])) for m in TOKEN.finditer(text[a:b])]
+    for a, b in _windows(text, low):
+        spans = [(m.start() + a, m.end() + a, shape(m[0]) if len(m[0]) < 64 else shape.__wrapped__(m[0])) for m in TOKEN.finditer(text[a:b])]
         file = file or file_features(low)
         tags = field.tags([s for _, _, s in spans], file)
         k = 0

@@ -246,6 +246,21 @@ def test_secret_scan(spark):
     assert secret_scan.masked(lines[6], field) == "use [secret] now" and secret_scan.masked(lines[7], field) == lines[7]
 
 
+def test_secrets_of_letters_and_long_tokens():
+    field, rng = secret_scan.trained(), np.random.default_rng(11)
+    for line, secret in (("send bearer QwErTyUiOpAsDfGh now", "QwErTyUiOpAsDfGh"), ("the credential: qWxYtRbNmKlP ok", "qWxYtRbNmKlP"), ('and "private_key": "kJhGfDsAqWeRtYuIoP" to', "kJhGfDsAqWeRtYuIoP")):
+        assert [line[a:b] for a, _, b in secret_scan.all_spans(line, field)[1]] == [secret]
+    plain = ["The bearer Internationalisation of the credential: Anti-Inflammatory and UNCONDITIONALLY", "use JavaScriptEngine and QwErTyUiOpAsDfGh alone", "the secret: of a bearer who was there"]
+    assert [secret_scan.all_spans(x, field)[1] for x in plain] == [[], [], []]
+    letters, found = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")), 0
+    for k in range(200):
+        secret = "".join(rng.choice(letters, 16))
+        found += [(s[0], s[2]) for s in secret_scan.all_spans(("bearer ", "credential: ")[k % 2] + secret, field)[1]] == [((7, 12)[k % 2], (7, 12)[k % 2] + 16)]
+    assert found >= 198
+    long = "kx" * 32 + "B7c8D9e0F1g2H3" * 6
+    assert [(a, b) for a, _, b in secret_scan.all_spans(f"bearer {long} x", field)[1]] == [(7, 7 + len(long))]
+
+
 def test_viterbi_is_the_best_path():
     from itertools import product
 
