@@ -4,7 +4,9 @@
 2. Global counts of ids give code lengths by package-merge, so no code exceeds the table's width (`code_lengths`).
 3. Each slice of a bucket becomes files (`write_files`); a block of BLOCK ids decodes on its own, and every STEP ids the
    bit offset is noted, so that a decoder follows all checkpoints of a block side by side with one table (`decode_block`).
-4. The files are read back with Spark's binary reader (`read_files`).
+4. The files are read back with Spark's binary reader (`read_files`). They stay if the caller names a folder.
+
+Ids are those of the tokenizers library as it is loaded; the string of an added token is that token.
 
 Null or empty texts hold the end id alone; rows without a doc_id come first; repeated rows are documents of their own;
 an empty table makes no file. Other columns are ignored.
@@ -15,6 +17,7 @@ from __future__ import annotations
 import io
 import json
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -227,9 +230,10 @@ def write_files(tokens: DataFrame, lengths: np.ndarray, folder: str) -> DataFram
             first = -(1 << 63) if keys[0] is None else keys[0]
             data = pack_file(keys, np.array([len(x) for x in held]), ids, long, codes, [bucket, first, zlib.crc32(ids.tobytes()), len(ids)])
             name = f"{bucket:08d}-{first + (1 << 63):020d}-{zlib.crc32(data):08x}.swt"
-            with store.open_output_stream(f"{root}/.{name}.part") as out:
+            held_back = f"{root}/.{name}.{uuid.uuid4().hex}.part"  # attempts of one task don't share a stream
+            with store.open_output_stream(held_back) as out:
                 out.write(data)
-            store.move(f"{root}/.{name}.part", f"{root}/{name}")
+            store.move(held_back, f"{root}/{name}")
             yield pa.RecordBatch.from_pylist([{"file": name, "bucket": bucket, "first": first, "n_docs": len(keys), "n_ids": len(ids)}], pa.schema([("file", pa.string()), ("bucket", pa.int32()), ("first", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
     return tokens.mapInArrow(files, "file string, bucket int, first long, n_docs long, n_ids long")
@@ -252,14 +256,19 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     return found.mapInArrow(rows, "bucket int, file string, doc_id long, n_tokens long, before long, ids_crc32 long")
 
 
-def token_output(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, file), read from the files that it writes."""
+def token_output(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int = END_ID, folder: str | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, file), read from the files that it writes.
+
+    The files stay in folder (a URI that all executors reach), which should have no others; without one they are kept
+    until the driver's process ends.
+    """
     spark = docs.sparkSession
     work = Workspace(spark, "token-output")
     tokens = work.save(tokenize(docs, vocabulary, end_id), "ids")
     counts = count_ids(tokens)
     limit = max(16, int(np.count_nonzero(counts)).bit_length() + 2)
-    index = work.save(write_files(tokens, code_lengths(counts, limit), f"{work.path}/files"), "index")
+    folder = folder or f"{work.path}/files"
+    index = work.save(write_files(tokens, code_lengths(counts, limit), folder), "index")
     work.drop("ids")
     # one sum for each bucket, which are as many as the shuffle's partitions
     total, base = 0, []
@@ -273,7 +282,7 @@ def token_output(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int = END_
     starts = index.join(F.broadcast(bases), "bucket").select("file", (F.col("base") + F.coalesce(F.sum("n_ids").over(within), F.lit(0))).alias("base"))
     if not base:
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long, file string")
-    found = read_files(spark, f"{work.path}/files")
+    found = read_files(spark, folder)
     return found.join(starts, "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "file")
 
 

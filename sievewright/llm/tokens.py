@@ -2,7 +2,7 @@
 
 A text is cut where the tokenizer's own pre-tokenizer is sure to cut, so that the ids of the text are those of the
 pieces in a row. The ids of each distinct piece come from the tokenizers library once and are kept; texts for which the
-cut isn't sure go to the library whole.
+cut isn't sure, or that hold the string of an added token, go to the library whole.
 """
 
 from __future__ import annotations
@@ -30,23 +30,27 @@ def vocabulary_path(name: str) -> str:
     return name if "/" in name else importlib.import_module("public_tokenizers").path(name)
 
 
-def encoder(name: str) -> "Encoder":
+def encoder(name: str, specials_as_text: bool = False) -> "Encoder":
     """One encoder for each vocabulary and worker process."""
     claim("tokens", _encoders.clear)
-    if name not in _encoders:
-        _encoders[name] = Encoder(name)
-    return _encoders[name]
+    if (key := f"{name}:{specials_as_text}") not in _encoders:
+        _encoders[key] = Encoder(name, specials_as_text)
+    return _encoders[key]
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 16-bit bytes."""
+    """Ids of texts as little-endian unsigned 16-bit bytes.
 
-    def __init__(self, name: str):
+    They are those of the library as it is loaded: the string of an added token becomes its id. With specials_as_text
+    such strings are ordinary text.
+    """
+
+    def __init__(self, name: str, specials_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary_path(name))
-        self.library.encode_special_tokens = True  # the strings of special tokens are ordinary text
+        self.library.encode_special_tokens = specials_as_text
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids over 16 bits aren't supported here")
         # The word vocabulary drops white space and ignores case; in the byte vocabulary a piece starts with its space.
@@ -54,6 +58,8 @@ class Encoder:
         self.mark = " \x01 " if self.by_word else "\n"
         self.mark_ids = self._library([self.mark])[0]
         self.kept: dict[bytes, bytes] = {b"": b""}
+        # in lower case, as pieces of the word vocabulary are: none may become an added token by that
+        self.added = tuple({t.content.encode().lower() for t in self.library.get_added_tokens_decoder().values() if t.content.strip()})
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<u2") for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -61,8 +67,11 @@ class Encoder:
     def _pieces(self, text: str) -> list[bytes] | None:
         """None: to be encoded whole."""
         data = text.encode("utf-8", "surrogatepass")
+        low = data.lower()  # ASCII letters only, which the library lowers too
+        if any(t in low for t in self.added):
+            return None
         if self.by_word:
-            return None if b"\x01" in data else data.lower().split()  # ASCII letters only, which the library lowers too
+            return None if b"\x01" in data else low.split()
         # with no two white spaces in a row each space starts a piece, and each line end is one
         if "\0" in text or _TWO_SPACES.search(text):
             return None
