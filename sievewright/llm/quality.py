@@ -13,6 +13,7 @@ doc_id is ignored, two labels count twice; an empty table gives no rows. Only th
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,11 +38,12 @@ def dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
         return b"".join(texts)[:size] or b"\0" * 8
 
 
-def _pair(good: bytes, bad: bytes) -> tuple:
+def compressors(good: bytes, bad: bytes) -> tuple:
+    """Of both dictionaries, made once in a worker; asked for by batch, as its key is a digest of all their bytes."""
     import zstandard
 
     claim("compressors", _compressors.clear)
-    if (key := good[:64] + bad[:64] + bytes([len(good) % 251, len(bad) % 251])) not in _compressors:
+    if (key := b"".join(hashlib.blake2b(x).digest() for x in (good, bad))) not in _compressors:
         made = []
         for data in (good, bad):
             d = zstandard.ZstdCompressionDict(data)
@@ -51,12 +53,12 @@ def _pair(good: bytes, bad: bytes) -> tuple:
     return _compressors[key]
 
 
-def features(text: str | None, good: bytes, bad: bytes) -> tuple[float, float]:
+def features(text: str | None, pair: tuple) -> tuple[float, float]:
     """Normalised difference of the compressed sizes, and the share that the good dictionary leaves."""
     data = (text or "").encode("utf-8", "surrogatepass")
     if not data:
         return 0.0, 0.0
-    with_good, with_bad = _pair(good, bad)
+    with_good, with_bad = pair
     a = b = 0
     for at in range(0, len(data), PIECE):
         piece = data[at : at + PIECE]
@@ -114,23 +116,24 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[bytes, bytes, np.ndarray]
     if not all(rest.values()):
         share = (many.get(1, 0) + 1) / (sum(many.values()) + 2)
         return made[1], made[0], np.array([np.log(share / (1 - share)), 0.0, 0.0])
-    x = np.array([features(t.decode("utf-8", "surrogatepass"), made[1], made[0]) for label in (1, 0) for t in rest[label]])
+    pair = compressors(made[1], made[0])
+    x = np.array([features(t.decode("utf-8", "surrogatepass"), pair) for label in (1, 0) for t in rest[label]])
     y = np.repeat([1.0, 0.0], [len(rest[1]), len(rest[0])])
     return made[1], made[0], fit(x, y, np.where(y == 1, many[1] / len(rest[1]), many[0] / len(rest[0])))
 
 
 def scored(docs: DataFrame, model: tuple[bytes, bytes, np.ndarray], column: str = "score") -> DataFrame:
-    """docs with the score in a further column, which must not be one of theirs."""
+    """docs with the score in a further column; it takes the place of one of that name in any case."""
     good, bad, w = model
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != column.lower()])
     names = docs.columns
-    if column in names:
-        raise ValueError(f"there is a column {column} already")
     at = names.index("text")
     schema = pa.float64()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([features(t, good, bad) for t in batch.column(at).to_pylist()]).reshape(-1, 2)
+            pair = compressors(good, bad)
+            x = np.array([features(t, pair) for t in batch.column(at).to_pylist()]).reshape(-1, 2)
             score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, schema)], [*names, column])
 
