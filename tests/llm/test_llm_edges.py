@@ -47,7 +47,8 @@ def test_packing(odd):
 def test_quality(spark, odd):
     for labels in ([], [(k, k % 2) for k in range(8)], [(1, 1)]):
         given = spark.createDataFrame(labels, "doc_id long, quality int")
-        out = quality.scored(odd.drop("score"), quality.train(odd, given)).toPandas()
+        out = quality.scored(odd.withColumnRenamed("score", "SCORE"), quality.train(odd, given)).toPandas()
+        assert list(out.columns) == [*odd.drop("score").columns, "score"]
         assert len(out) == len(ROWS) and out.score.between(0, 1).all() and out[out.text.isna()].score.iloc[0] == out[out.text == ""].score.iloc[0]
         assert quality.accepted(odd, given).columns == odd.columns
     assert quality.scored(odd.drop("score").limit(0), quality.train(odd.limit(0), given)).count() == 0
