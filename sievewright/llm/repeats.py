@@ -7,13 +7,15 @@ occurs more than once; neighbouring strings share an anchor and form a run. No r
 1. `anchors`: (piece hash, document, place of the run). Pieces that occur once are dropped.
 2. `suffix_runs`: each task sorts its suffixes, from the anchor to the end of the run's last string, and sends them
    front-coded: the length of the prefix shared with the suffix before, and the rest. The part left of the anchor goes
-   along. They are dealt by the hash of their first GRAM bytes.
-3. `LoserTree` merges the runs of a partition; suffixes are only compared from where their common prefix with the last
-   output ends. Its output says where a group, of one piece, ends.
-4. `repeated_strings` finds equal strings in whole groups by two 64-bit hashes of all LENGTH bytes.
-5. Pieces that occur above HOT times are not merged in one task. Each task finds what repeats among the strings of such
-   pieces that it has itself, and sends one of each string on, packed and dealt by its hash (`hot_strings`); what repeats
-   only between tasks is found there (`across_tasks`). This is as exact.
+   along. Buckets are ranges of suffixes, between splitters from a sample (`splitters`), which matter for balance alone.
+3. `LoserTree` merges the runs of a bucket; suffixes are only compared from where their common prefix with the last
+   output ends, and each comes out with the length of the prefix that it shares with the one before.
+4. `repeated_strings` reads repeats off these lengths: strings that begin d bytes left of their anchors are equal if the
+   suffixes share LENGTH - d bytes, the least of the lengths between them, and the left parts the last d, which their
+   order from right to left tells in the same way. Bytes decide, not hashes.
+5. A piece that occurs above GROUP times would be a group too large for a task. Each string of such runs is a suffix of
+   its own (a run of one string that begins at its anchor), in buckets that may end anywhere; equal ones are one record for
+   each sorted run, and prefixes of LENGTH bytes tell the repeats as before.
 
 The key of a document is its doc_id and a hash of its text, so that repeated rows repeat each other and rows that share an
 id don't mix. Null texts count as empty; texts below LENGTH bytes keep all; an empty table gives no rows. Other
@@ -23,49 +25,49 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import joined_to_groups
 from .caches import claim
 from .workspace import Workspace, documents, free_shuffles, partitions
 
-#: HOT suffixes of 300 bytes, and STRINGS hashes with what sorting takes, are some 50 MB each in a worker.
-LENGTH, GRAM, HOT = 200, 100, 100_000
-CHUNK, BATCH, FLUSH, STRINGS = 1 << 18, 4096, 25_000, 400_000
+#: GROUP suffixes of 300 bytes, and ALONE strings, are some 50 MB each in a worker.
+LENGTH, GRAM, GROUP = 200, 100, 100_000
+CHUNK, BATCH, FLUSH, ALONE = 1 << 18, 4096, 25_000, 100_000
+#: Suffixes of a bucket, about, and of the sample that splits them.
+BUCKET, SAMPLE = 200_000, 20_000
 _SPAN = LENGTH - GRAM + 1
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_BASE = 0x9E3779B97F4A7C15
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def _tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
-    if base not in _powers or len(_powers[base][0]) < n:
+    if not _powers or len(_powers[0][0]) < n:
         size = max(n, CHUNK + (CHUNK >> 2))
         made = []
-        for x in (base, pow(base, -1, 1 << 64)):
+        for x in (_BASE, pow(_BASE, -1, 1 << 64)):
             row = np.full(size, x, np.uint64)
             row[0] = 1
             made.append(np.cumprod(row, dtype=np.uint64))
-        _powers[base] = (made[0], made[1])
-    return _powers[base]
+        _powers[:] = [(made[0], made[1])]
+    return _powers[0]
 
 
-def hash_sums(x: np.ndarray, base: int) -> np.ndarray:
+def hash_sums(x: np.ndarray) -> np.ndarray:
     claim("powers", _powers.clear)
     sums = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * _tables(base, len(x) + 1)[0][: len(x)], out=sums[1:])
+    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * _tables(len(x) + 1)[0][: len(x)], out=sums[1:])
     return sums
 
 
-def hashes_at(sums: np.ndarray, starts: np.ndarray, length: int, base: int) -> np.ndarray:
-    """Hashes of the strings of some length at starts, from the sums over all bytes."""
-    return (sums[starts + length] - sums[starts]) * _tables(base, len(sums))[1][starts]
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(29))
@@ -78,8 +80,8 @@ def text_anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     ends = np.cumsum(sizes)
     if len(x) < LENGTH:
         return (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 4)
-    sums, n = hash_sums(x, _BASES[0]), len(x) - GRAM + 1
-    pieces = _mixed((sums[GRAM:] - sums[:n]) * _tables(_BASES[0], len(sums))[1][:n])
+    sums, n = hash_sums(x), len(x) - GRAM + 1
+    pieces = _mixed((sums[GRAM:] - sums[:n]) * _tables(len(sums))[1][:n])
     bits = np.uint64((1 << int(len(x)).bit_length()) - 1)
     low = (pieces & ~bits) | np.arange(len(pieces), dtype=np.uint64)
     span = 1
@@ -218,56 +220,48 @@ class LoserTree:
             self.winner = i
 
 
-def repeated_strings(members: list[tuple[bytes, tuple[bytes, int, int, int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(doc_id, text hash, start, end) of the bytes that repeated strings cover; all members of a piece must be there.
+Member = tuple[bytes, tuple[bytes, int, int, int]]
+
 
-    Equal strings have their anchor at one distance, so strings are looked at by distance, about STRINGS at once.
+def repeated_strings(members: list[Member], shared: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc_id, text hash, start, end) of the bytes that repeated strings cover.
+
+    members are whole groups, each of one piece, in merged order; shared has the prefix of each with the one before, below
+    GRAM where a group begins.
     """
-    left = np.array([len(load[0]) for _, load in members])
-    sizes = left + [len(suffix) for suffix, _ in members]
-    numbers = np.array([load[1:] for _, load in members], np.int64).reshape(-1, 3)
-    # sums over bytes are held for about CHUNK bytes; many more are computed again for each distance
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // CHUNK, prepend=-1))
-    blocks = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(members)]))
-    kept: dict[int, list[np.ndarray]] = {}
-
-    def sums(first: int, last: int) -> list[np.ndarray]:
-        if first not in kept:
-            if len(blocks) > 8:
-                kept.clear()
-            x = np.frombuffer(b"".join(part for suffix, load in members[first:last] for part in (load[0], suffix)), np.uint8)
-            kept[first] = [hash_sums(x, b) for b in _BASES]
-        return kept[first]
-
-    width, out = max(1, STRINGS // len(members)), []
-    for near in range(0, _SPAN, width):
-        low = np.maximum(left - (near + width - 1), 0)
-        many = np.maximum(np.minimum(sizes - LENGTH, left - near) - low + 1, 0)
-        owner = np.repeat(np.arange(len(members)), many)
-        step = np.arange(len(owner)) + np.repeat(low - (np.cumsum(many) - many), many)
-        hashes: list[list[np.ndarray]] = [[], []]
-        for first, last in blocks:
-            a, b = np.searchsorted(owner, (first, last))
-            if a < b:
-                base = np.cumsum(sizes[first:last]) - sizes[first:last]
-                starts = base[owner[a:b] - first] + step[a:b]
-                for held, s, factor in zip(hashes, sums(first, last), _BASES):
-                    held.append(hashes_at(s, starts, LENGTH, factor))
-        if not hashes[0]:
+    n, ahead = len(members), np.array(shared)
+    group = np.cumsum(ahead < GRAM)
+    keys = [g.to_bytes(4, "big") + load[0][::-1] for g, (_, load) in zip(group.tolist(), members)]
+    order = sorted(range(n), key=keys.__getitem__)
+    behind = np.array([-1, *(common_prefix(keys[a], keys[b]) - 4 for a, b in zip(order, order[1:]))])
+    left = np.array([len(x) - 4 for x in keys])
+    least = LENGTH - np.array([len(suffix) for suffix, _ in members])
+    found, back = np.zeros((n, _SPAN), bool), np.empty(n, np.int64)
+    for d in range(_SPAN):
+        some = np.flatnonzero((least <= d) & (left >= d))
+        if len(some) < 2:
             continue
-        one, two = (np.concatenate(h) for h in hashes)
-        order = np.lexsort((two, one))
-        same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-        twice = np.zeros(len(owner), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        at = np.flatnonzero(twice)
-        if len(at):
-            new = np.flatnonzero(np.r_[True, (np.diff(at) > 1) | (owner[at][1:] != owner[at][:-1])])
-            last = np.r_[new[1:], len(at)] - 1
-            who = owner[at[new]]
-            out.append((numbers[who, 0], numbers[who, 1], numbers[who, 2] + step[at[new]], numbers[who, 2] + step[at[last]] + LENGTH))
-    return tuple(np.concatenate([np.empty(0, np.int64), *c]) for c in zip(*out)) if out else (np.empty(0, np.int64),) * 4
+        back[order] = np.cumsum(behind < d)
+        kind = np.cumsum(ahead < LENGTH - d)[some] * (n + 1) + back[some]
+        by = np.argsort(kind)
+        same = np.diff(kind[by]) == 0
+        found[some[by[1:][same]], d] = True
+        found[some[by[:-1][same]], d] = True
+    edges = np.diff(found.astype(np.int8), axis=1, prepend=0, append=0)
+    who, near = np.nonzero(edges == 1)
+    far = np.nonzero(edges == -1)[1] - 1
+    numbers = np.array([load[1:] for _, load in members], np.int64).reshape(-1, 3)[who]
+    anchor = numbers[:, 2] + left[who]
+    return numbers[:, 0], numbers[:, 1], anchor - far, anchor - near + LENGTH
+
+
+def stretches(strings: list[tuple[int, int, int]]) -> tuple[np.ndarray, ...]:
+    """(doc_id, text hash, start, end) of what strings (doc_id, text hash, start) cover."""
+    a = np.array(strings, np.int64).reshape(-1, 3)
+    a = a[np.lexsort((a[:, 2], a[:, 1], a[:, 0]))]
+    new = np.flatnonzero(np.r_[True, (np.diff(a[:, :2], axis=0) != 0).any(1) | (np.diff(a[:, 2]) > LENGTH)][: len(a)])
+    last = np.r_[new[1:], len(a)][: len(new)] - 1
+    return a[new, 0], a[new, 1], a[new, 2], a[last, 2] + LENGTH
 
 
 NO_ID = -(1 << 63)
@@ -304,142 +298,169 @@ def anchors(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(rows, "piece long, doc long, h long, place long")
 
 
-def _same_as_another(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, first of its kind, has others) of strings by their hashes, in that order."""
-    order = np.lexsort((two, one))
-    same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-    first = np.r_[True, ~same]
-    return order, first, ~first | np.r_[same, False]
-
-
-def hot_strings(held: list[np.ndarray], buckets: int) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
-    """Of rows (one, two, doc, h, start) in order of the text: stretches (doc, h, start, end) that repeat among them, and
-    for each bucket one row of each string, with whether its stretches are told already."""
-    rows = np.concatenate(held, 1)
-    order, first, many = _same_as_another(rows[0], rows[1])
-    twice = np.zeros(rows.shape[1], bool)
-    twice[order[many]] = True
-    at = np.flatnonzero(twice)
-    told = np.empty((4, 0), np.int64)
-    if len(at):
-        next_to = (np.diff(at) == 1) & (np.diff(rows[2:4, at], axis=1) == 0).all(0) & (np.diff(rows[4, at]) == 1)
-        begins, ends = np.r_[True, ~next_to], np.r_[~next_to, True]
-        told = np.stack([*rows[2:5, at[begins]], rows[4, at[ends]] + LENGTH])
-    sent = np.concatenate([rows[:, order[first]], many[first][None].astype(np.int64)])
-    bucket = sent[0] % buckets
-    return told, [(int(k), np.ascontiguousarray(sent[:, bucket == k], "<i8").tobytes()) for k in np.unique(bucket)]
-
-
-def suffix_runs(chosen: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, run, strings, doc, h, start, end) from rows of doc, h, text, places and hot places.
-
-    A row is a front-coded run of a bucket, or strings of hot pieces for one, or a stretch that repeats.
-    """
-    names = ["bucket", "run", "strings", "doc", "h", "start", "end"]
+def _suffix(data: bytes, place: int) -> tuple[bytes, bytes, int]:
+    """Suffix of a run, what is left of its anchor, and the first string."""
+    anchor, first, last = unpacked_place(place)
+    return data[anchor : last + LENGTH], data[first:anchor], first
 
-    def blobs(held: list[list]) -> pa.RecordBatch:
-        some = [k for k, records in enumerate(held) if records]
-        made = [front_coded(sorted(held[k])) for k in some]
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(made, pa.binary()), pa.nulls(len(some), pa.binary()), *[pa.nulls(len(some), pa.int64())] * 4], names)
 
-    def packed(strings: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        told, sent = hot_strings(strings, buckets)
-        n = told.shape[1]
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 2, *map(pa.array, told)], names)
-        n = len(sent)
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()), pa.nulls(n, pa.binary()), pa.array([x for _, x in sent], pa.binary()), *[pa.nulls(n, pa.int64())] * 4], names)
+def splitters(keyed: DataFrame, kept: DataFrame, buckets: int) -> tuple[list[bytes], list[bytes]]:
+    """Where buckets of suffixes end, and those of single strings, from a sample of about SAMPLE runs of each."""
+    sums = kept.agg(*[F.coalesce(F.sum(F.size(c)), F.lit(0)).alias(c) for c in ("places", "alone")]).first()
+
+    def picked(column: str) -> Column:
+        one_in = F.lit(max(1, sums[column] // SAMPLE))
+        return F.filter(column, lambda p: F.pmod(F.xxhash64(F.col("doc"), F.col("h"), p), one_in) == 0).alias(column)
+
+    some = kept.select("doc", "h", picked("places"), picked("alone")).where("size(places) + size(alone) > 0")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, many = [[] for _ in range(buckets)], 0
-        strings, waiting = [], 0
         for batch in batches:
-            for doc, h, text, places, hot in zip(*(c.to_pylist() for c in batch.columns)):
+            out = []
+            for text, places, alone in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode("utf-8", "surrogatepass")
-                for place in {*(places or ())}:
-                    anchor, first, last = unpacked_place(place)
-                    suffix = data[anchor : last + LENGTH]
-                    held[int.from_bytes(hashlib.blake2b(suffix[:GRAM], digest_size=8).digest(), "little") % buckets].append((suffix, data[first:anchor], doc, h, first))
-                    many += 1
-                if many >= FLUSH:
-                    yield blobs(held)
-                    held, many = [[] for _ in range(buckets)], 0
-                if hot:
-                    x = np.frombuffer(data, np.uint8)
-                    starts = np.unique(np.concatenate([np.arange(a, b + 1) for _, a, b in map(unpacked_place, {*hot})]))
-                    one, two = (hashes_at(hash_sums(x, b), starts, LENGTH, b).view(np.int64) for b in _BASES)
-                    strings.append(np.stack([one, two, np.full(len(starts), doc), np.full(len(starts), h), starts]))
-                    waiting += len(starts)
-                    if waiting >= STRINGS:
-                        yield from packed(strings)
-                        strings, waiting = [], 0
-        if many:
-            yield blobs(held)
-        if strings:
-            yield from packed(strings)
-
-    return chosen.mapInArrow(rows, "bucket int, run binary, strings binary, doc long, h long, start long, end long")
-
-
-def across_tasks(runs: DataFrame, buckets: int) -> DataFrame:
-    """(doc, h, start, end) of strings of hot pieces that only repeat between tasks."""
+                out += [(False, _suffix(data, p)[0][:GRAM]) for p in places]
+                out += [(True, data[s : s + LENGTH]) for p in alone for s in unpacked_place(p)[1:]]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.bool_(), pa.binary()))], ["alone", "prefix"])
+
+    found = keyed.join(F.broadcast(some), ["doc", "h"]).select("text", "places", "alone").mapInArrow(rows, "alone boolean, prefix binary").collect()
+    out = []
+    for kind in (False, True):
+        sample = sorted(bytes(r.prefix) for r in found if r.alone == kind)
+        out.append(sorted({sample[len(sample) * k // buckets] for k in range(1, buckets)} if sample else ()))
+    return out[0], out[1]
+
+
+def suffix_runs(chosen: DataFrame, ends: list[bytes], ends_alone: list[bytes]) -> DataFrame:
+    """(bucket, run, doc, h, start, end) from rows of doc, h, text, places and places whose strings stand alone.
+
+    A row is a front-coded run of a bucket, or a stretch that repeats within a run. Buckets of single strings come after
+    the others.
+    """
+    names = ["bucket", "run", "doc", "h", "start", "end"]
+
+    def coded(records: list[tuple], bounds: list[bytes], base: int) -> pa.RecordBatch:
+        cuts = [0, *(bisect_left(records, (x,)) for x in bounds), len(records)]
+        some = [(base + k, front_coded(records[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary()), *[pa.nulls(len(some), pa.int64())] * 4], names)
+
+    def suffixes(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        held.sort()
+        yield coded(held, ends, 0)
+
+    def strings(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """Of equal strings one is sent, with a mark if they are told here."""
+        held.sort()
+        sent, told, k = [], [], 0
+        while k < len(held):
+            first = k
+            while k < len(held) and held[k][0] == held[first][0]:
+                k += 1
+            string, _, *place = held[first]
+            sent.append((string, b"told" if k - first > 1 else b"", *place))
+            if k - first > 1:
+                told += [r[2:] for r in held[first:k]]
+        yield coded(sent, ends_alone, len(ends) + 1)
+        places = stretches(told)
+        n = len(places[0])
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *map(pa.array, places)], names)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.frombuffer(x, "<i8").reshape(6, -1) for batch in batches for x in batch.column(1).to_pylist()]
+        held: list[tuple] = []
+        lone: list[tuple] = []
+        for batch in batches:
+            for doc, h, text, places, alone in zip(*(c.to_pylist() for c in batch.columns)):
+                data = text.encode("utf-8", "surrogatepass")
+                for place in {*places}:
+                    suffix, before, first = _suffix(data, place)
+                    held.append((suffix, before, doc, h, first))
+                    if len(held) >= FLUSH:
+                        yield from suffixes(held)
+                        held = []
+                for place in {*alone}:
+                    _, first, last = unpacked_place(place)
+                    lone += [(data[s : s + LENGTH], b"", doc, h, s) for s in range(first, last + 1)]
+                    if len(lone) >= ALONE:
+                        yield from strings(lone)
+                        lone = []
         if held:
-            found = np.concatenate(held, 1)
-            order, _, many = _same_as_another(found[0], found[1])
-            at = order[many]
-            at = at[found[5, at] == 0]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, found[2:5, at]), pa.array(found[4, at] + LENGTH)], ["doc", "h", "start", "end"])
+            yield from suffixes(held)
+        if lone:
+            yield from strings(lone)
 
-    dealt = runs.where("strings IS NOT NULL").select("bucket", "strings").repartitionById(buckets, F.col("bucket"))
-    return dealt.mapInArrow(rows, "doc long, h long, start long, end long")
+    return chosen.mapInArrow(rows, "bucket int, run binary, doc long, h long, start long, end long")
 
 
-def merged(runs: DataFrame, buckets: int) -> DataFrame:
+def merged(runs: DataFrame, ends: list[bytes], ends_alone: list[bytes]) -> DataFrame:
     """(doc, h, start, end) of repeated stretches, from the front-coded runs."""
+    grouped = len(ends) + 1
+
+    def of_groups(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+        members: list[Member] = []
+        shared: list[int] = []
+        begin = 0
+        for n, suffix, load in LoserTree(map(decoded, blobs)):
+            if n < GRAM:
+                if len(members) - begin == 1:  # a group of one has no repeat
+                    members.pop()
+                    shared.pop()
+                if len(members) >= BATCH:
+                    yield repeated_strings(members, shared)
+                    members, shared = [], []
+                begin = len(members)
+            members.append((suffix, load))
+            shared.append(n)
+        if len(members) - begin == 1:
+            members.pop()
+            shared.pop()
+        if members:
+            yield repeated_strings(members, shared)
+
+    def of_strings(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+        found: list[tuple[int, int, int]] = []
+        before: tuple | None = None
+        for n, _, (mark, *place) in LoserTree(map(decoded, blobs)):
+            if n >= LENGTH:
+                found += [tuple(x) for told, x in (before, (mark, place)) if not told]
+                mark = b"told"
+            before = (mark, place)
+            if len(found) >= ALONE:
+                yield stretches(found)
+                found = []
+        if found:
+            yield stretches(found)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [b for batch in batches for b in batch.column(1).to_pylist()]
-        done: list[tuple] = []
-        group: list[tuple] = []
-
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in repeated_strings(done)], ["doc", "h", "start", "end"])
-
-        for shared, suffix, load in LoserTree(map(decoded, blobs)):
-            if shared < GRAM:
-                if len(group) > 1:
-                    done += group
-                group = []
-                if len(done) >= BATCH:
-                    yield made()
-                    done = []
-            group.append((suffix, load))
-        if len(group) > 1:
-            done += group
-        if done:
-            yield made()
-
-    dealt = runs.where("run IS NOT NULL").select("bucket", "run").repartitionById(buckets, F.col("bucket"))
+        blobs = defaultdict(list)
+        for batch in batches:
+            for bucket, run in zip(*(c.to_pylist() for c in batch.columns)):
+                blobs[bucket].append(run)
+        for bucket in sorted(blobs):
+            for columns in (of_groups if bucket < grouped else of_strings)(blobs.pop(bucket)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "h", "start", "end"])
+
+    dealt = runs.where("run IS NOT NULL").select("bucket", "run").repartitionById(grouped + len(ends_alone) + 1, F.col("bucket"))
     return dealt.mapInArrow(rows, "doc long, h long, start long, end long")
 
 
-def repeated_stretches(docs: DataFrame, work: Workspace, hot: int = HOT) -> DataFrame:
+def repeated_stretches(docs: DataFrame, work: Workspace, group: int = GROUP) -> DataFrame:
     """(doc, h, spans): for each document with repeats, its stretches (start, end), which may overlap."""
     spark = docs.sparkSession
-    keyed, buckets = _keyed(docs), partitions(spark, 2)
+    keyed = _keyed(docs)
     found = work.save(anchors(keyed.where(F.octet_length("text") >= LENGTH)), "anchors")
-    often = found.groupBy("piece").agg(F.count("*").alias("many")).where("many > 1")
-    kept = found.join(often, "piece").groupBy("doc", "h").agg(F.collect_list(F.when(F.col("many") <= hot, F.col("place"))).alias("places"), F.collect_list(F.when(F.col("many") > hot, F.col("place"))).alias("hot"))
+    often = work.save(found.groupBy("piece").agg(F.count("*").alias("many")).where("many > 1"), "often")
+    of = lambda yes: F.collect_list(F.when(yes, F.col("place")))
+    kept = joined_to_groups(found, often, "piece").groupBy("doc", "h").agg(of(F.col("many") <= group).alias("places"), of(F.col("many") > group).alias("alone"))
     kept = work.save(kept, "kept")
-    work.drop("anchors")
+    work.drop("anchors", "often")
     free_shuffles(spark)
-    runs = work.save(suffix_runs(keyed.join(kept, ["doc", "h"]).select("doc", "h", "text", "places", "hot"), buckets), "runs")
+    many = kept.agg(F.coalesce(F.sum(F.size("places") + F.size("alone")), F.lit(0))).first()[0]
+    ends, ends_alone = splitters(keyed, kept, max(partitions(spark, 2), many // BUCKET))
+    runs = work.save(suffix_runs(keyed.join(kept, ["doc", "h"]).select("doc", "h", "text", "places", "alone"), ends, ends_alone), "runs")
     work.drop("kept")
     free_shuffles(spark)
     told = runs.where("start IS NOT NULL").select("doc", "h", "start", "end")
-    spans = merged(runs, buckets).unionByName(across_tasks(runs, buckets)).unionByName(told).groupBy("doc", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = merged(runs, ends, ends_alone).unionByName(told).groupBy("doc", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = work.save(spans, "spans")
     work.drop("runs")
     free_shuffles(spark)
@@ -458,10 +479,10 @@ def without(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
     return b"".join(out), many
 
 
-def repeats_removed(docs: DataFrame, hot: int = HOT, with_kept: bool = False) -> DataFrame:
+def repeats_removed(docs: DataFrame, group: int = GROUP, with_kept: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) and, if asked for, kept (the bytes that are left)."""
     spark = docs.sparkSession
-    spans = repeated_stretches(docs, Workspace(spark, "repeats"), hot)
+    spans = repeated_stretches(docs, Workspace(spark, "repeats"), group)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -215,15 +215,15 @@ def brute_repeats(given):
     return out
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 2])
-def test_repeats(spark, texts, hot, monkeypatch):
+@pytest.mark.parametrize("group", [repeats.GROUP, 2])
+def test_repeats(spark, texts, group):
     rng = np.random.default_rng(6)
     letters = lambda n: "".join(rng.choice(list("abcdé"), n))
     p = letters(500)
     given = dict(list(texts.items())[:80]) | {10_000 + k: letters(rng.integers(1, 200)) + p[rng.integers(0, 200) : rng.integers(300, 500)] + letters(90) for k in range(60)}
     given |= {20_000: "a" * 700, 20_001: "ab" * 300, 20_002: "x" * 199, 20_003: p, 20_004: p, 20_005: ""}
     df = spark.createDataFrame(list(given.items()), "doc_id long, text string").repartition(5)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.repeats_removed(df, hot).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.repeats_removed(df, group).collect()}
     assert got == brute_repeats(given)
 
 
@@ -237,6 +237,33 @@ def test_loser_tree_merges_with_prefixes():
     assert list(repeats.LoserTree([])) == []
 
 
+def test_repeats_are_read_off_common_prefixes():
+    """Groups in merged order against all strings of their runs."""
+    rng = np.random.default_rng(13)
+    for letters, n in ((2, 40), (1, 12), (4, 150)):
+        piece, members = bytes(rng.integers(97, 97 + letters, 100).tolist()), []
+        contexts = [bytes(rng.integers(97, 97 + letters, 200).tolist()) for _ in range(4)]
+        for k in range(n):
+            text = contexts[rng.integers(4)] + piece + contexts[rng.integers(4)]
+            at = rng.integers(0, 400)
+            text = text[:at] + b"#" + text[at + 1 :] if not 200 <= at < 300 else text
+            first, last = sorted(rng.integers(100, 201, 2).tolist())
+            members.append((text[200 : last + 200], text[first:200], k, 0, first))
+        runs = [repeats.front_coded(sorted(members[i::3])) for i in range(3)]
+        out = list(repeats.LoserTree(map(repeats.decoded, runs)))
+        got = {k: np.zeros(600, bool) for k in range(n)}
+        for doc, _, start, end in zip(*(x.tolist() for x in repeats.repeated_strings([(s, load) for _, s, load in out], [m for m, _, _ in out]))):
+            got[doc][start:end] = True
+        strings = [(load[1], load[3] + i, (load[0] + s)[i : i + 200]) for _, s, load in out for i in range(len(load[0]) + len(s) - 199)]
+        # a string is known by its bytes and its distance from the anchor
+        seen = Counter((200 - start, x) for _, start, x in strings)
+        want = {k: np.zeros(600, bool) for k in range(n)}
+        for k, start, x in strings:
+            if seen[200 - start, x] > 1:
+                want[k][start : start + 200] = True
+        assert all((got[k] == want[k]).all() for k in range(n)) and any(v.any() for v in want.values())
+
+
 def test_best_fit_packing(spark, texts):
     ids = whole_ids(texts, tokens.BYTE_BPE, 2)
     rows = registry.QUERIES["op6_best_fit_packing"](spark, DATA).toPandas()
