@@ -4,16 +4,23 @@ A document's set holds its distinct shingles of WIDTH words (`[^\x20\x09-\x0D]+`
 hashes; with fewer words the sequence as one.
 
 1. Equal sets are one class. Each gets M registers, floor(1 - log_B(A x)) of the least x of an exponential hash, cut to
-   0..255: registers of unions are maxima, and equal registers say how similar sets are (`sketch`).
-2. Classes that agree on ROWS registers of a band meet in a bucket. Buckets with the same members count once. Members
-   are compared by tiles: from the numbers of greater, less and equal registers and the known set sizes, the likelihood
-   of a similarity of THRESHOLD against the best one (`plausible`). A tile returns a spanning forest of what is plausible.
-3. Families, the components of these forests, are verified on full sets by tiles (`verified`), which again return
-   forests; their components are the result.
-
-With 24 bands of 5 registers a pair at a similarity of 0.85 is missed about once in a million, and the likelihood test is
-six standard deviations wide. Documents without words or text have 0 shingles and link with nothing; repeated rows are in
-one class; a null doc_id links with nothing; an empty table gives no rows. Other columns are ignored.
+   16 bits: registers of unions are maxima, and equal registers say how similar sets are (`sketch`).
+2. Classes that agree on ROWS registers of a band meet in a bucket. Buckets with the same members count once. From the
+   numbers of greater, less and equal registers and the known set sizes, the likelihood of a similarity of THRESHOLD is
+   held against the best one (`plausible`).
+3. Families, the components of what is plausible, are verified on full sets.
+
+Both a bucket and a family are gone through in the same way, so that neither all pairs nor a text for each tile are sent:
+every member is compared with one of them, the pivot, in chunks (`_pivot_units`). Only members that this leaves open meet
+all others, in tiles of the open ones by tiles of all (`_open_units`); of a family, sketches meet first, and texts follow for the
+rows of a tile that have a plausible partner in another component. What comes out are links that span what is connected,
+and their components are the result. A group's facts reach its rows without a hot key (`joined_to_groups`).
+
+With 24 bands of 5 registers a pair at a similarity of 0.85 is missed by the bands with a chance of 7.7e-7, and by
+the least number of equal registers that the likelihood test asks for, 76 of 120, with 1.4e-9; the test itself is six
+standard deviations wide.
+Documents without words or text have 0 shingles and link with nothing; repeated rows are in one class; a null doc_id
+links with nothing; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,15 +34,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.batches import groups, local_roots
-from .caches import claim
 from ..operators.graph import components
+from ..operators.skew import joined_to_groups
+from .caches import claim
 from .workspace import Workspace, documents
 
 WIDTH, PERCENT = 5, 85
-BANDS, ROWS, BASE, RATE = 24, 5, 1.1, 20.0
+#: A fine base: unlike sets agree on a register with a chance of about 0.0025, on a band with 1e-13.
+BANDS, ROWS, BASE, RATE = 24, 5, 1.01, 20.0
 M = BANDS * ROWS
-#: Members of a tile, of sketches and of texts; bytes of text in a tile of texts; half the width of the likelihood test.
-TILE, TEXT_TILE, TEXT_BYTES, WIDE = 512, 256, 4 << 20, 18.0
+#: Members of a tile, of sketches and of texts; bytes of text in a tile of texts; half the width of the likelihood test, and
+#: the equal registers that it asks for.
+TILE, TEXT_TILE, TEXT_BYTES, WIDE, EQUAL = 512, 256, 4 << 20, 18.0, 76
 
 _draw = np.random.default_rng(85)
 _A = _draw.integers(0, 1 << 31, M, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -84,7 +94,7 @@ def sketch(items: np.ndarray) -> np.ndarray:
         part += np.multiply.outer(_B, high[at : at + 1024])
         np.minimum(least, part.min(1), out=least)
     x = -np.log1p(-(least.astype(np.float64) + 0.5) / 4294967296.0) / RATE
-    return np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, 255).astype(np.uint8)
+    return np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, 65_535).astype(np.uint16)
 
 
 def _chance(x: np.ndarray) -> np.ndarray:
@@ -101,7 +111,7 @@ def plausible(rx: np.ndarray, nx: np.ndarray, ry: np.ndarray, ny: np.ndarray, pe
         if not len(ok):
             continue
         equal = (ry[ok] == rx[i]).sum(1)
-        near = equal >= M * (least - 0.22)
+        near = equal >= EQUAL - M * (PERCENT / 100 - least)
         ok, equal = ok[near], equal[near]
         if not len(ok):
             continue
@@ -130,9 +140,15 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def verified(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> tuple[list[int], list[int]]:
-    """Of candidate pairs, links on full sets that span all that links connect: pairs that are connected aren't compared."""
+def verified(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, percent: int = PERCENT, linked: np.ndarray | None = None) -> tuple[list[int], list[int]]:
+    """Of candidate pairs, links on full sets that span all that links connect: pairs that are connected aren't compared.
+
+    Those marked as linked are connected already.
+    """
     root = list(range(len(sets)))
+    if linked is not None and linked.any():
+        first = int(np.flatnonzero(linked)[0])
+        root = [first if x else k for k, x in enumerate(linked.tolist())]
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -150,39 +166,66 @@ def verified(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, percent: int
 
 
 def _registers(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, M)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, M)
 
 
-def _pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Plausible pairs of a unit: within a tile if both are the same, else between the two."""
-    registers, n = _registers(table.column("sketch")), table.column("n").to_numpy()
-    first = np.flatnonzero(table.column("tile").to_numpy() == table.column("i").to_numpy())
-    if table.column("i")[0].as_py() == table.column("j")[0].as_py():
-        a, b = plausible(registers, n, registers, n, percent)
-        return a[a < b], b[a < b]
-    second = np.setdiff1d(np.arange(len(n)), first)
-    a, b = plausible(registers[first], n[first], registers[second], n[second], percent)
-    return first[a], second[b]
+def _numpy(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
 
 
-def _forest(table: pa.Table, percent: int) -> pa.RecordBatch:
-    ids = table.column("rep").to_numpy()
-    a, b = _pairs(table, percent)
-    root = local_roots(len(ids), a, b)
-    some = root != np.arange(len(ids))
-    return pa.RecordBatch.from_arrays([pa.array(ids[some], pa.int64()), pa.array(ids[root[some]], pa.int64())], ["a", "b"])
+def _open_pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Plausible pairs of an open row and another that it isn't linked with, by their rows in the table."""
+    registers, n, ids, linked = _registers(table.column("sketch")), _numpy(table, "n"), _numpy(table, "rep"), _numpy(table, "linked")
+    own = _numpy(table, "side") == 0
+    one, two = np.flatnonzero(own), np.flatnonzero(~own)
+    if not len(one) or not len(two):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    a, b = plausible(registers[one], n[one], registers[two], n[two], percent)
+    a, b = one[a], two[b]
+    other = (ids[a] != ids[b]) & ~(linked[a] & linked[b])
+    return a[other], b[other]
+
+
+def _forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Links (a, b) of ids that span what pairs of rows connect; an id may have several rows."""
+    names, at = np.unique(ids, return_inverse=True)
+    root = local_roots(len(names), at[a], at[b])
+    some = root != np.arange(len(names))
+    return pa.RecordBatch.from_arrays([pa.array(names[some], pa.int64()), pa.array(names[root[some]], pa.int64())], ["a", "b"])
 
 
 def _digest(items: np.ndarray) -> bytes:
     return hashlib.blake2b(items.tobytes(), digest_size=16).digest()
 
 
-def _units(df: DataFrame, key: str) -> DataFrame:
-    """A row for each pair of tiles of its group: (key, i, j, tile, ...)."""
-    out = df.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rest = [c for c in df.columns if c not in (key, "tiles")]
-    out = out.select(key, F.least("tile", "other").cast("int").alias("i"), F.greatest("tile", "other").cast("int").alias("j"), "tile", *rest)
-    return out.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
+def _pivot_units(members: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """members with chunk and lead: the pivot, which leads, is in every chunk of its group, any other member in one."""
+    rows = joined_to_groups(members, facts.select(key, "many", "pivot", "chunks"), key).withColumn("lead", F.col("rep") == F.col("pivot"))
+    own = F.array(F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    return rows.withColumn("chunk", F.explode(F.when(F.col("lead"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(own))).drop("many", "chunks")
+
+
+def _open_units(members: DataFrame, facts: DataFrame, tried: DataFrame, key: str, work: Workspace, name: str) -> DataFrame | None:
+    """Units (key, i, j) of open members (side 0) by all members (side 1), with linked: whether the pivot is linked with them.
+
+    tried has a row for each member that was held against its pivot. None if nothing is open.
+    """
+    open_rows = tried.where("NOT ok").select(key, "rep").distinct()
+    counted = work.save(open_rows.groupBy(key).agg(F.count("*").alias("opens")).join(facts.where("many > 2"), key), f"{name}-open")
+    if counted.isEmpty():
+        return None
+    # tiles of open ones as large as those of all
+    counted = counted.withColumn("i_tiles", F.ceil(F.col("opens") * F.col("chunks") / F.col("many")).cast("int"))
+    rows = joined_to_groups(members, counted.select(key, "many", "chunks", "i_tiles"), key)
+    rows = work.save(rows.join(open_rows.withColumn("open", F.lit(True)), [key, "rep"], "left").withColumn("linked", F.col("open").isNull()).drop("open", "many"), f"{name}-rows")
+    tile = lambda of: F.pmod(F.xxhash64("rep"), F.col(of)).cast("int")
+    ones = rows.where("NOT linked").select("*", F.lit(0).alias("side"), tile("i_tiles").alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
+    alls = rows.select("*", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("i_tiles") - 1)).alias("i"), tile("chunks").alias("j"))
+    return ones.unionByName(alls).drop("chunks", "i_tiles")
+
+
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -210,43 +253,83 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = work.save(classes, "classes")
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shift = np.arange(ROWS, dtype=np.uint64) * np.uint64(8)
+        shift, mark = np.arange(ROWS, dtype=np.uint64) * np.uint64(12), np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 some = batch.slice(at, 4096)
-                regs = _registers(some.column(1)).reshape(-1, BANDS, ROWS).astype(np.uint64)
-                keys = (regs << shift).sum(2, dtype=np.uint64) | (np.arange(BANDS, dtype=np.uint64) << np.uint64(48))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).astype(np.int64)), pa.array(np.repeat(some.column(0).to_numpy(), BANDS))], ["key", "rep"])
-
-    bands = classes.select("rep", "sketch").mapInArrow(banded, "key long, rep long")
-    buckets = bands.groupBy("key").agg(F.count("*").alias("many"), F.min("rep").alias("least"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep") % 1_000_003).alias("y")).where("many > 1")
-    buckets = buckets.groupBy("many", "least", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("many") / F.lit(TILE)).cast("int").alias("tiles"))
-    members = bands.join(buckets, "key").join(classes.select("rep", "n", "sketch"), "rep").select("key", "tiles", "rep", "n", "sketch")
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                keys = (_registers(some.column(1)).reshape(-1, BANDS, ROWS).astype(np.uint64) << shift).sum(2, dtype=np.uint64) + mark
+                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(some.column(0).to_numpy(), BANDS))], ["key", "rep"])
+
+    bands = work.save(classes.select("rep", "sketch").mapInArrow(banded, "key long, rep long"), "bands")
+    buckets = bands.groupBy("key").agg(F.count("*").alias("many"), F.min("rep").alias("pivot"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep") % 1_000_003).alias("y")).where("many > 1")
+    buckets = work.save(buckets.groupBy("many", "pivot", "x", "y").agg(F.min("key").alias("key")).select("key", "many", "pivot", F.ceil(F.col("many") / F.lit(TILE)).cast("int").alias("chunks")), "buckets")
+    members = work.save(joined_to_groups(bands, buckets.select("key", "many"), "key").drop("many").join(classes.select("rep", "n", "sketch"), "rep"), "members")
+    work.drop("bands")
+
+    def rough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, 2):
+            lead = _numpy(table, "lead")
+            rest, registers, n, ids = np.flatnonzero(~lead), _registers(table.column("sketch")), _numpy(table, "n"), _numpy(table, "rep")
+            ok = np.zeros(len(rest), bool)
+            if lead.any() and len(rest):
+                ok[plausible(registers[lead], n[lead], registers[rest], n[rest], percent)[1]] = True
+            yield pa.RecordBatch.from_arrays([pa.array(_numpy(table, "key")[rest]), pa.array(ids[rest]), pa.array(_numpy(table, "pivot")[rest]), pa.array(ok)], ["key", "rep", "pivot", "ok"])
+
+    tried = work.save(_dealt(_pivot_units(members, buckets, "key").select("key", "chunk", "lead", "rep", "pivot", "n", "sketch"), "key", "chunk").mapInArrow(rough, "key long, rep long, pivot long, ok boolean"), "tried")
+    forest = tried.where("ok").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+
+    def rough_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, 3):
-            yield _forest(table, percent)
+            yield _forest(_numpy(table, "rep"), *_open_pairs(table, percent))
 
-    forest = _units(members, "key").mapInArrow(compared, "a long, b long")
-    families = components(forest, work, "families").withColumnRenamed("component", "family")
+    units = _open_units(members, buckets, tried, "key", work, "bucket")
+    if units is not None:
+        forest = forest.unionByName(_dealt(units.select("key", "i", "j", "side", "linked", "rep", "n", "sketch"), "key", "i", "j").mapInArrow(rough_rest, "a long, b long"))
+    families = components(work.save(forest, "forest"), work, "families").withColumnRenamed("component", "family")
+    work.drop("members", "tried", "buckets")
     held = work.save(families.join(classes, families["id"] == classes["rep"]).select("family", "rep", "n", "sketch", "digest", "n_bytes"), "families")
-    tiles = held.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / F.lit(TEXT_TILE)), F.ceil(F.sum("n_bytes") / F.lit(TEXT_BYTES))).cast("int").alias("tiles"))
+    chunks = F.greatest(F.ceil(F.count("*") / F.lit(TEXT_TILE)), F.ceil(F.sum("n_bytes") / F.lit(TEXT_BYTES))).cast("int").alias("chunks")
+    # the family's least id is one of its members
+    facts = work.save(held.groupBy("family").agg(F.count("*").alias("many"), F.col("family").alias("pivot"), chunks), "facts")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    units = _units(held.join(tiles, "family").join(texts, "rep").drop("n_bytes"), "family")
+
+    def full_sets(table: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+        """Without rows that share an id with another text, which aren't of the class."""
+        sets = [shingles(x) for x in table.column("text").to_pylist()]
+        right = np.array([_digest(x) == y for x, y in zip(sets, table.column("digest").to_pylist())], bool)
+        return table.filter(pa.array(right)), [x for x, ok in zip(sets, right) if ok]
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, 2):
+            table, sets = full_sets(table)
+            lead = _numpy(table, "lead")
+            pivots = [sets[k] for k in np.flatnonzero(lead)]
+            rest = np.flatnonzero(~lead)
+            ok = [any(_similar(p, sets[k], percent) for p in pivots) for k in rest]
+            yield pa.RecordBatch.from_arrays([pa.array(_numpy(table, "family")[rest]), pa.array(_numpy(table, "rep")[rest]), pa.array(ok, pa.bool_())], ["family", "rep", "ok"])
+
+    units = _pivot_units(held.select("family", "rep", "digest"), facts, "family").select("family", "chunk", "lead", "rep", "digest")
+    tried = work.save(_dealt(units.join(texts, "rep").select("family", "chunk", "lead", "rep", "digest", "text"), "family", "chunk").mapInArrow(checked, "family long, rep long, ok boolean"), "checked")
+    proven = tried.where("ok").select(F.col("rep").alias("a"), F.col("family").alias("b"))
+
+    def rough_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, 3):
+            yield from table.take(pa.array(np.unique(np.concatenate(_open_pairs(table, percent))))).to_batches()
+
+    def checked_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, 3):
-            sets = [shingles(x) for x in table.column("text").to_pylist()]
-            # rows that share an id with another text aren't of the class
-            right = np.array([_digest(x) == y for x, y in zip(sets, table.column("digest").to_pylist())], bool)
-            table, sets = table.filter(pa.array(right)), [x for x, ok in zip(sets, right) if ok]
-            if len(sets) < 2:
-                continue
-            ids = table.column("rep").to_numpy()
-            a, b = verified(sets, *_pairs(table, percent), percent)
+            table, sets = full_sets(table)
+            a, b = verified(sets, *_open_pairs(table, percent), percent, _numpy(table, "linked"))
+            ids = _numpy(table, "rep")
             yield pa.RecordBatch.from_arrays([pa.array(ids[a], pa.int64()), pa.array(ids[b], pa.int64())], ["a", "b"])
 
-    links = components(units.mapInArrow(checked, "a long, b long"), work, "links")
+    units = _open_units(held, facts, tried, "family", work, "family")
+    if units is not None:
+        names = ["family", "i", "j", "side", "linked", "rep", "n", "sketch", "digest"]
+        schema = "family long, i int, j int, side int, linked boolean, rep long, n long, sketch binary, digest binary"
+        partners = _dealt(units.select(*names), "family", "i", "j").mapInArrow(rough_partners, schema)
+        proven = proven.unionByName(_dealt(partners.join(texts, "rep").select(*names, "text"), "family", "i", "j").mapInArrow(checked_rest, "a long, b long"))
+    links = components(work.save(proven, "proven"), work, "links")
     found = classes.join(links, classes["rep"] == links["id"], "left").select("digest", F.coalesce("component", "rep").alias("c"))
     out = made.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(found, "digest", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

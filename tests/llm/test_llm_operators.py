@@ -130,7 +130,10 @@ def near_copies(n=60):
     return out | {900: "a b", 901: "A  b", 902: "", 903: " \n", 904: out[3] + " ", 905: out[3]}
 
 
-def test_minhash_dups(spark, texts):
+@pytest.mark.parametrize("tile", [minhash_dups.TEXT_TILE, 7])
+def test_minhash_dups(spark, texts, tile, monkeypatch):
+    monkeypatch.setattr(minhash_dups, "TILE", tile)
+    monkeypatch.setattr(minhash_dups, "TEXT_TILE", tile)
     for given in (texts, near_copies()):
         sets = shingle_sets(given)
         keys = [k for k in sorted(sets) if sets[k]]
@@ -141,6 +144,19 @@ def test_minhash_dups(spark, texts):
         assert sorted(r.doc_id for r in minhash_dups.deduplicated(df).collect()) == sorted(k for k in given if want[k] == k)
 
 
+def test_components_of_hubs(spark, monkeypatch):
+    from sievewright.operators import graph, skew
+
+    rng = np.random.default_rng(14)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (250, 2))] + [(7, k) for k in range(1000, 1300)] + [(k, k + 1) for k in range(2000, 2060)] + [(5, 5)]
+    nodes = sorted({x for a, b in pairs if a != b for x in (a, b)})
+    want = least_reachable(nodes, [p for p in pairs if p[0] != p[1]])
+    for least in (skew.LEAST, 3):
+        monkeypatch.setattr(skew, "LEAST", least)
+        got = graph.components(spark.createDataFrame([*pairs, (None, 3)], "a long, b long"), Workspace(spark, "t")).collect()
+        assert {r.id: r.component for r in got} == want and len(got) == len(want)
+
+
 def test_sketches_merge_and_estimate():
     a, b = (np.unique(np.random.default_rng(s).integers(0, 1 << 63, 3000, dtype=np.uint64)) for s in (1, 2))
     x, y = minhash_dups.sketch(a), minhash_dups.sketch(b)
