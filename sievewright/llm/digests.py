@@ -4,13 +4,13 @@ Every window of WIDTH bytes has an entropy, kept in whole numbers; how rare its
 documents ranks it (`entropy_counts`, one count for each of 1001 values). Of each run of RUN windows the first of the
 least rank is noted, and a window noted by COMMON runs or more is a feature: an improbable one. Windows of almost no
 entropy are never features. Distinct features go to filters of BITS bits, HASHES bits each and FEATURES features a
-filter, chained in order of the text. Likeness is the share of common bits above what chance gives, of the most that
-there can be; the shorter chain looks for its best partners in the longer.
+filter, chained in order of the text. Likeness of two filters is the share of common bits above what chance gives, of the
+most that there can be; the shorter chain looks for its best partners in the longer, and they count by their bits.
 
 Texts of fewer than LONG code points have all their windows of GRAM bytes as features besides, longer ones those with no
 improbable window within GAP bytes; these grams fill filters of their own after the others. So texts of any two lengths
-share a kind of features wherever they share a stretch, unless one is below SHORT code points, which has grams only, and
-the other above LONG. A text below GRAM bytes is a feature itself. Only the empty text has none. Null
+share a kind of features wherever they share a stretch. A text below GRAM bytes is a feature itself. Only the empty text has
+none. Null
 counts as empty, whose digest has no feature: two such are alike (1.0), and unlike all others (0.0). With one row, the
 next document is the row itself; equal doc_ids follow each other by text; null doc_ids come last; an empty table gives
 no rows. Other columns are ignored.
@@ -32,7 +32,7 @@ from .workspace import documents, partitions
 
 WIDTH, RUN, COMMON, WEAK = 64, 64, 16, 100
 BITS, HASHES, FEATURES = 2048, 5, 160
-SHORT, GRAM, CHUNK = 160, 8, 1 << 18
+GRAM, CHUNK = 8, 1 << 18
 #: Code points below which all grams count, and how far from a window, in bytes, they do in longer texts.
 LONG, GAP = 1024, 512
 
@@ -126,11 +126,9 @@ def features(texts: list[str], rank: np.ndarray) -> list[tuple[np.ndarray, np.nd
     none = np.empty(0, np.uint64)
     out = [(none, none)] * len(texts)
     long = []
-    for k, (t, b) in enumerate(zip(texts, data)):
-        if len(t) >= SHORT:
+    for k, b in enumerate(data):
+        if len(b) >= GRAM:
             long.append(k)
-        elif len(b) >= GRAM:
-            out[k] = none, _distinct(_hashed(x := np.frombuffer(b, np.uint8), np.arange(GRAM - 1, len(x)), GRAM))
         elif b:
             out[k] = none, np.array([int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little")], np.uint64)
     for some in _chunks([data[k] for k in long]):
@@ -147,7 +145,7 @@ def features(texts: list[str], rank: np.ndarray) -> list[tuple[np.ndarray, np.nd
             span *= 2
         owner = np.zeros(len(x), bool)
         for s, e in zip(starts.tolist(), ends.tolist()):
-            owner[s + WIDTH - 1 : e - RUN + 1] = True
+            owner[s + WIDTH - 1 : max(s + WIDTH - 1, e - RUN + 1)] = True
         low = key[owner & (key < (2000 << 32))] & 0xFFFFFFFF
         noted = np.bincount(low, minlength=len(x))
         at = np.flatnonzero(noted >= COMMON)
@@ -192,7 +190,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     both, x, y = (a @ b.T).astype(np.float64), a.sum(1, dtype=np.float64)[:, None], b.sum(1, dtype=np.float64)[None, :]
     chance, most = x * y / BITS, np.minimum(x, y)
     score = np.clip((both - chance) / np.maximum(most - chance, 1e-9), 0.0, 1.0)
-    return float(score.max(1).mean() if len(a) < len(b) else (score.max(1).mean() + score.max(0).mean()) / 2)
+    mine, theirs = float((score.max(1) * x[:, 0]).sum() / x.sum()), float((score.max(0) * y[0]).sum() / y.sum())
+    return mine if len(a) < len(b) else (mine + theirs) / 2
 
 
 def edited(text: str, following: str) -> str:

@@ -411,6 +411,43 @@ def test_resharding(spark, texts):
     assert all(sorted(g.slot) == list(range(len(g))) for _, g in rows.groupby("shard"))
 
 
+def test_fewest_moves_are_the_fewest():
+    """Against all flows of small supplies, and what keeping as much as fits gives for larger ones."""
+    from itertools import product
+
+    rng = np.random.default_rng(16)
+
+    def splits(n, parts):
+        return [(n,)] if parts == 1 else [(k, *rest) for k in range(n + 1) for rest in splits(n - k, parts - 1)]
+
+    for _ in range(30):
+        supply = rng.integers(0, 5, 3).tolist()
+        capacity = list(splits(sum(supply), 4)[rng.integers(0, len(splits(sum(supply), 4)))])
+        flow = resharding.fewest_moves(supply, capacity)
+        for k, n in enumerate(supply):
+            assert sum(x for (i, _), x in flow.items() if i == k) == n
+        for k, n in enumerate(capacity):
+            assert sum(x for (_, j), x in flow.items() if j == k) == n
+        best = min(sum(n for i, row in enumerate(rows) for j, n in enumerate(row) if i != j) for rows in product(*(splits(n, 4) for n in supply)) if [sum(c) for c in zip(*rows)] == capacity)
+        assert sum(n for (i, j), n in flow.items() if i != j) == best
+    for n, m in ((32, 40), (40, 32), (7, 7)):
+        supply = rng.integers(0, 10**9, n).tolist()
+        capacity = [sum(supply) // m + (k < sum(supply) % m) for k in range(m)]
+        moved = sum(x for (i, j), x in resharding.fewest_moves(supply, capacity).items() if i != j)
+        # no flow keeps more in a shard than it has and than it may have
+        assert moved == sum(supply) - sum(min(a, b) for a, b in zip(supply, capacity))
+
+
+def test_registered_shards_are_even_and_move_least(spark):
+    rows = registry.QUERIES["op9_resharding"](spark, DATA.replace("sf0.001", "sf0.1")).toPandas()
+    sizes, most = rows.groupby("shard")["size"].sum(), rows["size"].max()
+    assert len(sizes) == 40 and (abs(sizes - rows["size"].sum() / 40) <= most).all()
+    old, total = rows.groupby("old_shard")["size"].sum(), rows["size"].sum()
+    moved = rows[rows.old_shard != rows.shard]["size"].sum()
+    # to whole rows: at each of a shard's cuts a row of at most the largest size may go either way
+    assert moved <= total - sum(min(n, total // 40) for n in old) + 80 * most
+
+
 def test_resharding_is_even_and_moves_least(spark, tmp_path):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.md5(F.col("id").cast("string")), 3).alias("text"))
     planned = resharding.plan(df, 8, 10)
@@ -436,6 +473,79 @@ def test_digests(spark, texts):
     assert np.mean([r.near_edited for r in rows.values()]) > 0.6 and np.mean([r.near_next for r in rows.values()]) < 0.1
 
 
+def plain_features(text, rank):
+    """Windows and grams of a text, one by one."""
+    from math import log2
+
+    b, mask = text.encode(), (1 << 64) - 1
+    factors = [int(x) for x in digests._FACTORS]
+
+    def hashed(part):
+        h = sum((c + 1) * f for c, f in zip(part[::-1], factors)) & mask
+        h = (h ^ (h >> 31)) * 0x9E3779B97F4A7C15 & mask
+        h = (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 & mask
+        return h ^ (h >> 32)
+
+    def entropy(part):
+        total = sum(round(n * log2(n) * (1 << 20)) for n in Counter(part).values())
+        return ((64 * 6 << 20) - total) * 1000 // (64 * 6 << 20)
+
+    if len(b) < 8:
+        return [], [int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little")] if b else []
+    keys = {e: (int(rank[entropy(b[e - 63 : e + 1])]), e) for e in range(63, len(b))}
+    noted = Counter(min(keys[e] for e in range(s, s + 64)) for s in range(63, len(b) - 63))
+    at = sorted(e for (r, e), n in noted.items() if n >= 16 and r < 2000)
+    lone = [e for e in range(7, len(b)) if len(text) < 1024 or not any(w - 512 <= e <= w + 512 for w in at)]
+    return list(dict.fromkeys(hashed(b[e - 63 : e + 1]) for e in at)), list(dict.fromkeys(hashed(b[e - 7 : e + 1]) for e in lone))
+
+
+def plain_filters(features):
+    out = []
+    for kind in features:
+        for k in range(0, len(kind), 160):
+            out.append({(h >> (11 * j)) & 2047 for h in kind[k : k + 160] for j in range(5)})
+    return out
+
+
+def plain_likeness(a, b):
+    if not a or not b:
+        return float(len(a) == len(b))
+    a, b = sorted((a, b), key=len)
+
+    def score(x, y):
+        chance, most = len(x) * len(y) / 2048, min(len(x), len(y))
+        return min(1.0, max(0.0, (len(x & y) - chance) / max(most - chance, 1e-9)))
+
+    one = sum(len(x) * max(score(x, y) for y in b) for x in a) / sum(map(len, a))
+    return one if len(a) < len(b) else (one + sum(len(y) * max(score(x, y) for x in a) for y in b) / sum(map(len, b))) / 2
+
+
+def test_digests_against_plain_ones(spark, texts):
+    import base64
+
+    given = [t[:n] for t, n in zip(sorted(texts.values(), key=lambda t: hashlib.md5(t.encode()).digest()), (5000, 1500, 1030, 900, 400, 300, 200, 180, 165, 150, 100, 64, 20, 9, 5, 1200, 2500, 700))]
+    given += ["", "x" * 3000, "y" * 2000, "é" * 700, "ab", "x" * 3000]
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    rank = digests.ranks(digests.entropy_counts(df))
+    plain = lambda t: plain_filters(plain_features(t, rank))
+    bits = lambda made: base64.b64encode(b"".join(np.packbits(np.isin(np.arange(2048), [*f])).tobytes() for f in made)).decode()
+    for r in digests.digests(df).collect():
+        text, after = given[r.doc_id], given[r.doc_id - 1]  # before the first: the last
+        own, new, following = plain(text), plain(digests.edited(text, after)), plain(after)
+        assert r.fingerprint == bits(own) and r.edited_fingerprint == bits(new)
+        assert abs(r.near_edited - plain_likeness(own, new)) < 1e-5 and abs(r.near_next - plain_likeness(own, following)) < 1e-5
+
+
+@pytest.mark.parametrize("size", [100, 165, 180, 200, 400, 1030, 1500])
+def test_edits_of_texts_of_any_length(spark, size):
+    """Documents cut to a length, also where their edited text is in another class of length; unlike texts stay unlike."""
+    docs = spark.read.parquet(DATA.replace("sf0.001", "sf0.01") + "/documents.parquet").where(f"length(text) >= {size}")
+    rows = digests.digests(docs.select("doc_id", F.col("text").substr(1, size).alias("text"))).toPandas()
+    assert rows.near_edited.mean() > 0.5 and rows.near_edited.min() > 0
+    some = digests.digests(spark.createDataFrame([(1, "x" * 5000), (2, "y" * 7000), (3, "")], "doc_id long, text string")).collect()
+    assert all(r.near_next < 0.1 for r in some)
+
+
 def test_window_entropies_are_exact():
     x = np.random.default_rng(9).integers(0, 9, 400).astype(np.uint8)
     got = digests.window_entropies(x)
