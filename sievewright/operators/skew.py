@@ -16,8 +16,11 @@ def joined_to_groups(rows: DataFrame, facts: DataFrame, key: str, many: str = "m
     are; as the counts sum to the rows, fewer than HOT_GROUPS groups can be hot. All others meet their fact by a shuffle, of
     which no key is hot any more. Both tables are read twice, so they should be written ones.
     """
-    total = facts.agg(F.sum(many)).first()[0] or 0
-    above = F.col(many) > max(LEAST, total // HOT_GROUPS)
+    seen = facts.agg(F.coalesce(F.sum(many), F.lit(0)).alias("total"), F.coalesce(F.max(many), F.lit(0)).alias("most")).first()
+    limit = max(LEAST, seen.total // HOT_GROUPS)
+    if seen.most <= limit:
+        return rows.join(facts, key)
+    above = F.col(many) > limit
     hot = facts.where(above)
     first = rows.join(F.broadcast(hot), key)
     return first.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.where(~above), key))
