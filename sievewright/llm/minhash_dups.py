@@ -43,9 +43,9 @@ WIDTH, PERCENT = 5, 85
 #: A fine base: unlike sets agree on a register with a chance of about 0.0025, on a band with 1e-13.
 BANDS, ROWS, BASE, RATE = 24, 5, 1.01, 20.0
 M = BANDS * ROWS
-#: Members of a tile, of sketches and of texts; bytes of text in a tile of texts; half the width of the likelihood test, and
-#: the equal registers that it asks for.
-TILE, TEXT_TILE, TEXT_BYTES, WIDE, EQUAL = 512, 256, 4 << 20, 18.0, 76
+#: Members of a chunk that meets its pivot; members of a tile, of sketches and of texts; bytes of text in a chunk or tile; half
+#: the width of the likelihood test, and the equal registers that it asks for.
+PIVOTED, TILE, TEXT_TILE, TEXT_BYTES, WIDE, EQUAL = 64, 512, 256, 4 << 20, 18.0, 76
 
 _draw = np.random.default_rng(85)
 _A = _draw.integers(0, 1 << 31, M, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -215,13 +215,13 @@ def _open_units(members: DataFrame, facts: DataFrame, tried: DataFrame, key: str
     if counted.isEmpty():
         return None
     # tiles of open ones as large as those of all
-    counted = counted.withColumn("i_tiles", F.ceil(F.col("opens") * F.col("chunks") / F.col("many")).cast("int"))
-    rows = joined_to_groups(members, counted.select(key, "many", "chunks", "i_tiles"), key)
+    counted = counted.withColumn("i_tiles", F.ceil(F.col("opens") * F.col("tiles") / F.col("many")).cast("int"))
+    rows = joined_to_groups(members, counted.select(key, "many", "tiles", "i_tiles"), key)
     rows = work.save(rows.join(open_rows.withColumn("open", F.lit(True)), [key, "rep"], "left").withColumn("linked", F.col("open").isNull()).drop("open", "many"), f"{name}-rows")
     tile = lambda of: F.pmod(F.xxhash64("rep"), F.col(of)).cast("int")
-    ones = rows.where("NOT linked").select("*", F.lit(0).alias("side"), tile("i_tiles").alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"))
-    alls = rows.select("*", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("i_tiles") - 1)).alias("i"), tile("chunks").alias("j"))
-    return ones.unionByName(alls).drop("chunks", "i_tiles")
+    ones = rows.where("NOT linked").select("*", F.lit(0).alias("side"), tile("i_tiles").alias("i"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("j"))
+    alls = rows.select("*", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("i_tiles") - 1)).alias("i"), tile("tiles").alias("j"))
+    return ones.unionByName(alls).drop("tiles", "i_tiles")
 
 
 def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
@@ -262,7 +262,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     bands = work.save(classes.select("rep", "sketch").mapInArrow(banded, "key long, rep long"), "bands")
     buckets = bands.groupBy("key").agg(F.count("*").alias("many"), F.min("rep").alias("pivot"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep") % 1_000_003).alias("y")).where("many > 1")
-    buckets = work.save(buckets.groupBy("many", "pivot", "x", "y").agg(F.min("key").alias("key")).select("key", "many", "pivot", F.ceil(F.col("many") / F.lit(TILE)).cast("int").alias("chunks")), "buckets")
+    parts = lambda of, many, size=F.lit(0): F.greatest(F.ceil(many / F.lit(of)), F.ceil(size / F.lit(TEXT_BYTES))).cast("int")
+    buckets = buckets.groupBy("many", "pivot", "x", "y").agg(F.min("key").alias("key"))
+    buckets = work.save(buckets.select("key", "many", "pivot", parts(PIVOTED, F.col("many")).alias("chunks"), parts(TILE, F.col("many")).alias("tiles")), "buckets")
     members = work.save(joined_to_groups(bands, buckets.select("key", "many"), "key").drop("many").join(classes.select("rep", "n", "sketch"), "rep"), "members")
     work.drop("bands")
 
@@ -288,9 +290,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     families = components(work.save(forest, "forest"), work, "families").withColumnRenamed("component", "family")
     work.drop("members", "tried", "buckets")
     held = work.save(families.join(classes, families["id"] == classes["rep"]).select("family", "rep", "n", "sketch", "digest", "n_bytes"), "families")
-    chunks = F.greatest(F.ceil(F.count("*") / F.lit(TEXT_TILE)), F.ceil(F.sum("n_bytes") / F.lit(TEXT_BYTES))).cast("int").alias("chunks")
+    sizes = [parts(of, F.count("*"), F.sum("n_bytes")).alias(name) for of, name in ((PIVOTED, "chunks"), (TEXT_TILE, "tiles"))]
     # the family's least id is one of its members
-    facts = work.save(held.groupBy("family").agg(F.count("*").alias("many"), F.col("family").alias("pivot"), chunks), "facts")
+    facts = work.save(held.groupBy("family").agg(F.count("*").alias("many"), F.col("family").alias("pivot"), *sizes), "facts")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
 
     def full_sets(table: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:

@@ -132,7 +132,8 @@ def near_copies(n=60):
 
 @pytest.mark.parametrize("tile", [minhash_dups.TEXT_TILE, 7])
 def test_minhash_dups(spark, texts, tile, monkeypatch):
-    monkeypatch.setattr(minhash_dups, "TILE", tile)
+    for name in ("PIVOTED", "TILE"):
+        monkeypatch.setattr(minhash_dups, name, tile)
     monkeypatch.setattr(minhash_dups, "TEXT_TILE", tile)
     for given in (texts, near_copies()):
         sets = shingle_sets(given)
