@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,23 @@ def stripped(text: Column) -> Column:
     return F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
 
 
+def right_stripped(text: Column) -> Column:
+    """Without white space at the end."""
+    return F.regexp_replace(text, rf"{SPACE}+\z", "")
+
+
+def blank(text: Column) -> Column:
+    """Null, empty or white space alone."""
+    return F.coalesce(stripped(text.cast("string")), F.lit("")) == ""
+
+
+def level_word(label: object) -> str | None:
+    """The level that a spelling stands for, if it is a known one; parts between slashes count too."""
+    words = re.sub(r"[\s_-]+", " ", str(label).lower()).strip()
+    named = [words, *re.split(" / ", words), *words.split("/")]
+    return ALIASES.get(words) or next((ALIASES[x] for x in ALIASES if x in named), None)
+
+
 def severity_level(label: Column) -> Column:
     """low, medium or high for any known spelling, also as a part of a label cut at slashes; null for others."""
     key = F.regexp_replace(F.regexp_replace(F.lower(stripped(label)), "[_-]", " "), rf"{SPACE}+", " ")

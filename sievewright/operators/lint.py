@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import LEVELS
+from ..functions.scalars import LEVELS, blank
 from .rendering import examples_for
 
 LEAST, PARTS, ALIKE = 3, 3, 0.15
@@ -25,12 +25,12 @@ def lint(policies: DataFrame) -> DataFrame:
     """
     found = []
     for c in ("policy_id", "policy"):
-        found.append(("error", F.coalesce(F.trim(c), F.lit("")) == "", f"no {c}"))
+        found.append(("error", blank(F.col(c)), f"no {c}"))
     for level in LEVELS:
         examples = examples_for(F.lit(level))
         few = F.size(examples)
         found += [("error", few == 0, f"cell {level}: no example"), ("warning", (few > 0) & (few < LEAST), f"cell {level}: under {LEAST} examples")]
-        found.append(("warning", F.coalesce(F.trim(F.col("severity_text")[level]), F.lit("")) == "", f"cell {level}: no wording"))
+        found.append(("warning", blank(F.col("severity_text")[level]), f"cell {level}: no wording"))
         found.append(("warning", _alike(examples), f"cell {level}: examples alike"))
     found += [("warning", F.size("allowed_examples") == 0, "no allowed examples"), ("warning", F.size("definitions") == 0, "no definitions"), ("warning", F.size(F.split("policy", ";")) > PARTS, f"over {PARTS} sub-categories")]
     made = F.array_compact(F.array(*[F.when(cond, F.struct(F.lit(kind).alias("kind"), F.lit(text).alias("finding"))) for kind, cond, text in found]))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
@@ -53,15 +53,24 @@ def first_balanced(text: str, pair: str) -> str | None:
     return None
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def _whole(text: str) -> str:
+    """Halves of surrogate pairs joined, lone ones replaced, as no column can hold them."""
+    return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace") if _LONE.search(text) else text
+
+
 def _loaded(text: str) -> Any:
+    """The JSON value of a text; none if it isn't JSON or is nested deeper than Python reads."""
     try:
         return json.loads(text)
-    except ValueError:
+    except (ValueError, RecursionError):
         return None
 
 
 def _named(item: dict, names: tuple[str, ...]) -> str:
-    return next((v.strip() for v in map(item.get, names) if isinstance(v, str) and v.strip()), "")
+    return _whole(next((v.strip() for v in map(item.get, names) if isinstance(v, str) and v.strip()), ""))
 
 
 def as_entry(item: Any) -> Entry | None:
@@ -79,17 +88,43 @@ def as_entries(value: Any) -> list[Entry]:
     return [e for e in map(as_entry, value) if e] if isinstance(value, list) else []
 
 
+def _closed_objects(text: str, start: int, end: int) -> list[dict] | None:
+    """All objects of the JSON value from start to end, in order of their closing brackets; none if it isn't one."""
+    found: list[dict] = []
+
+    def keep(pairs: list[tuple[str, Any]]) -> dict:
+        found.append(dict(pairs))
+        return found[-1]
+
+    try:
+        return found if json.JSONDecoder(object_pairs_hook=keep).raw_decode(text, start)[1] == end else None
+    except (ValueError, RecursionError):
+        return None
+
+
 def salvaged(text: str) -> list[Entry]:
-    """Of a reply that was cut off: objects that close, at any depth, and a whole prompt of the last open one."""
-    found: dict[str, Entry] = {}
-    starts: list[int] = []
+    """Of a reply that was cut off: objects that close, at any depth, and a whole prompt of the last open one.
+
+    Spans are parsed from the outermost inwards, so that one that reads as a whole is read once.
+    """
+    opened: list[tuple[int, list]] = [(-1, [])]  # places of open brackets, each with the spans that closed within
     for at, mark in _brackets(text):
         if mark == "{":
-            starts.append(at)
-        elif mark == "}" and starts and (entry := as_entry(_loaded(text[starts.pop() : at + 1]))):
+            opened.append((at, []))
+        elif mark == "}" and len(opened) > 1:
+            start, within = opened.pop()
+            opened[-1][1].append((start, at + 1, within))
+    found: dict[str, Entry] = {}
+    waiting = [span for _, within in reversed(opened) for span in reversed(within)]
+    while waiting:
+        start, end, within = waiting.pop()
+        objects = _closed_objects(text, start, end)
+        if objects is None:
+            waiting += reversed(within)
+        for entry in filter(None, map(as_entry, objects or ())):
             found.setdefault(entry[0], entry)
-    if starts:
-        cut = text[starts[-1] :]
+    if len(opened) > 1:
+        cut = text[opened[-1][0] :]
         whole = (re.search(rf'"{name}"\s*:\s*("(?:[^"\\]|\\.)*")', cut) for name in PROMPT_NAMES)
         first = next((m for m in whole if m), None)
         if first and (entry := as_entry(_loaded(first[1]))):
@@ -107,7 +142,7 @@ def labelled(text: str) -> list[Entry]:
 def parsed_reply(raw: str | None) -> tuple[list[Entry], str, str | None]:
     """(entries, strategy, error) of the first strategy that finds any."""
     if not (raw or "").strip():
-        return [], "none", "empty response"
+        return [], "none", "the reply is blank"
     text = THINKING.sub("", raw)
     steps = [
         ("json", lambda: as_entries(_loaded(text))),
@@ -119,31 +154,34 @@ def parsed_reply(raw: str | None) -> tuple[list[Entry], str, str | None]:
     for name, step in steps:
         if entries := step():
             return entries, name, None
-    return [], "none", "no prompts recovered; response began: " + repr(text[:160].replace("\n", " "))
+    return [], "none", f"no strategy found a prompt in {len(text)} characters: {text[:120]!r}"
+
+
+#: Findings on a judge's object, each with what must hold of it and of the policy that was judged.
+RULES: list[tuple[str, Callable[[dict, str], bool]]] = [
+    ("policy isn't the judged one", lambda got, policy: got.get("verdict") != "violation" or got.get("matched_policy_id") == policy),
+    ("policy without a violation", lambda got, _: got.get("verdict") == "violation" or got.get("matched_policy_id") is None),
+    ("severity isn't a level", lambda got, _: got.get("verdict") != "violation" or isinstance(got.get("severity"), str) and got["severity"] in LEVELS),
+    ("severity without a violation", lambda got, _: got.get("verdict") == "violation" or got.get("severity") is None),
+    ("context isn't a boolean", lambda got, _: isinstance(got.get("requires_external_context"), bool)),
+    ("summary is blank", lambda got, _: isinstance(got.get("decision_summary"), str) and bool(got["decision_summary"].strip())),
+    ("verdict is unknown", lambda got, _: isinstance(got.get("verdict"), str) and got["verdict"] in VERDICTS),
+]
 
 
 def parsed_judgment(raw: str | None, expected: str) -> dict[str, Any]:
-    """The judge's object, or judge_error alone."""
+    """The judge's object, or judge_error alone: all findings of RULES, or that there is no object."""
     text = JUDGE_THINKING.sub("", raw or "").strip()
     fence = FENCED.search(text)
     tries = (text, fence[1].strip() if fence else "", first_balanced(text, "{}") or "")
     got = next((v for v in map(_loaded, filter(None, tries)) if isinstance(v, dict)), None)
     if got is None:
-        return {"judge_error": "no JSON object found in judge response"}
-    verdict, policy, level = (got.get(k) for k in ("verdict", "matched_policy_id", "severity"))
-    summary, outside = got.get("decision_summary"), got.get("requires_external_context")
-    violation = verdict == "violation"
-    rules = [
-        (isinstance(verdict, str) and verdict in VERDICTS, f"verdict must be one of {VERDICTS}, got {verdict!r}"),
-        (isinstance(summary, str) and bool(summary.strip()), "decision_summary must be a non-empty string"),
-        (isinstance(outside, bool), f"requires_external_context must be a JSON boolean, got {outside!r}"),
-        (policy == expected if violation else policy is None, f"{verdict} with matched_policy_id {policy!r}, judged was {expected!r}"),
-        (isinstance(level, str) and level in LEVELS if violation else level is None, f"{verdict} with severity {level!r}"),
-    ]
-    broken = next((message for ok, message in rules if not ok), None)
-    if broken:
-        return {"judge_error": broken}
-    return {"verdict": verdict, "matched_policy_id": policy, "judged_severity": level, "requires_external_context": outside, "decision_summary": summary.strip()}
+        return {"judge_error": "the reply holds no object"}
+    findings = [finding for finding, holds in RULES if not holds(got, expected)]
+    if findings:
+        return {"judge_error": "; ".join(findings)}
+    summary = _whole(got["decision_summary"].strip())
+    return {"verdict": got["verdict"], "matched_policy_id": got.get("matched_policy_id"), "judged_severity": got.get("severity"), "requires_external_context": got["requires_external_context"], "decision_summary": summary}
 
 
 def _replies(raw: pd.Series) -> pd.DataFrame:

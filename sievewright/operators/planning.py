@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ALIASES, LEVELS
+from ..functions.scalars import LEVELS, level_word
 
 DEFAULT_RATIO = {"low": 0.3, "medium": 0.4, "high": 0.3}
 
@@ -22,7 +22,7 @@ def normalised_ratio(given: dict[str, float] | None) -> dict[str, float]:
         return dict(DEFAULT_RATIO)
     out: dict[str, float] = {}
     for name, weight in given.items():
-        level = ALIASES.get(" ".join(str(name).strip().lower().replace("_", " ").replace("-", " ").split()))
+        level = level_word(name)
         if level is None or level in out:
             raise PlanError(f"severity {name!r} is {'unknown' if level is None else 'given twice'}")
         if isinstance(weight, bool) or not isinstance(weight, (int, float)) or not math.isfinite(weight) or weight < 0:
@@ -34,6 +34,12 @@ def normalised_ratio(given: dict[str, float] | None) -> dict[str, float]:
     return {level: out.get(level, 0.0) / total for level in LEVELS}
 
 
+def shares(weights: list[tuple[str, float]]) -> list[tuple[str, float]]:
+    """Weights of models as parts of their sum."""
+    whole = sum(w for _, w in weights)
+    return [(model, w / whole) for model, w in weights]
+
+
 def largest_remainder(rows: DataFrame, total: Column, weight: Column, parent: list[str], order: Column, name: str = "count") -> DataFrame:
     """Adds name: whole parts of total by weight within each parent, which sum to it.
 

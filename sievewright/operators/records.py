@@ -5,43 +5,63 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import content_id
+from ..functions.scalars import blank, content_id
 
-KEPT = "policy_id string, call_idx long, pos int, id string, prompt string"
+_FOLDED = "policy_id string, call_idx long, pos int, id string, prompt string, kept boolean"
 
 
-def quota_trimmed(entries: DataFrame) -> DataFrame:
-    """(policy_id, call_idx, pos, id, prompt) of the entries kept, from (policy_id, call_idx, pos, quota, prompt).
+def quota_folded(entries: DataFrame) -> DataFrame:
+    """(policy_id, call_idx, pos, id, prompt, kept) of (policy_id, call_idx, pos, quota, prompt) and, if there, problems.
+
+    Calls go in order of call_idx. An entry that has problems isn't kept and doesn't count, and is among the rows if its
+    call's quota wasn't full when its turn came; one whose id was kept before is skipped; either way the next may take its
+    place. Entries beyond a full quota are neither kept nor remembered. Without problems, blank prompts are dropped.
 
-    Calls go in order of call_idx; an entry whose id was kept before is skipped and the next may take its place, one
-    beyond a full quota is neither kept nor remembered. Ids contain the policy, so policies are independent; rows of a
-    policy stream through in order, and what is held is its kept ids. Blank prompts are dropped.
+    Ids contain the policy, so policies are independent; and so is a call none of whose ids comes again in its policy,
+    which a window over the call settles. Only the other calls of a policy are folded in order, in a task that streams
+    through them and remembers ids that come again.
     """
-    named = entries.withColumn("id", content_id(F.col("policy_id"), F.col("prompt"))).where("prompt IS NOT NULL AND length(trim(prompt)) > 0")
-    sorted_rows = named.select("policy_id", "call_idx", "pos", "quota", "id", "prompt").repartition("policy_id").sortWithinPartitions("policy_id", "call_idx", "pos")
+    named = entries.withColumn("id", content_id(F.col("policy_id"), F.col("prompt")))
+    if "problems" in entries.columns:
+        named = named.withColumn("ok", F.size("problems") == 0)
+    else:
+        named = named.where(~blank(F.col("prompt"))).withColumn("ok", F.lit(True))
+    of_id, call = Window.partitionBy("policy_id", "id"), Window.partitionBy("policy_id", "call_idx")
+    counted = named.withColumn("again", F.sum(F.col("ok").cast("int")).over(of_id) > 1).withColumn("mixed", F.max(F.col("again") & F.col("ok")).over(call))
+    before = F.coalesce(F.sum(F.col("ok").cast("int")).over(call.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lone = counted.where("NOT mixed").withColumn("before", before).where("before < quota")
+    lone = lone.select("policy_id", F.col("call_idx").cast("long"), F.col("pos").cast("int"), "id", "prompt", F.col("ok").alias("kept"))
+    rest = counted.where("mixed").select("policy_id", F.col("call_idx").cast("long"), F.col("pos").cast("int"), "quota", "id", "prompt", "ok", "again")
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         policy = call = object()
         seen: set[str] = set()
         left = 0
         for batch in batches:
-            keep = []
-            for p, c, q, i in zip(batch.policy_id, batch.call_idx, batch.quota, batch.id):
+            told, kept = [], []
+            for p, c, q, i, ok, again in zip(batch.policy_id, batch.call_idx, batch.quota, batch.id, batch.ok, batch.again):
                 if p != policy:
                     policy, call, seen = p, object(), set()
                 if c != call:
                     call, left = c, q
-                take = left > 0 and i not in seen
+                take = left > 0 and ok and i not in seen
+                told.append(take or left > 0 and not ok)
+                kept.append(take)
                 if take:
-                    seen.add(i)
                     left -= 1
-                keep.append(take)
-            yield batch.loc[keep, ["policy_id", "call_idx", "pos", "id", "prompt"]]
+                    if again:
+                        seen.add(i)
+            yield batch.assign(kept=kept).loc[told, ["policy_id", "call_idx", "pos", "id", "prompt", "kept"]]
+
+    return lone.unionByName(rest.repartition("policy_id").sortWithinPartitions("policy_id", "call_idx", "pos").mapInPandas(fold, _FOLDED))
 
-    return sorted_rows.mapInPandas(fold, KEPT)
+
+def quota_trimmed(entries: DataFrame) -> DataFrame:
+    """(policy_id, call_idx, pos, id, prompt) of the entries that `quota_folded` keeps."""
+    return quota_folded(entries).where("kept").drop("kept")
 
 
 def generation_counts(records: DataFrame) -> DataFrame:

@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import stripped
-from .batches import groups
+from .batches import groups, local_roots
 from .graph import components
+from .skew import joined_to_groups
 from .workspace import Workspace
 
 TILE = 1024
@@ -30,38 +31,55 @@ def check_vectors(vectors: DataFrame, key: str = "id") -> None:
         raise VectorError(f"{seen.bad} unusable vectors, lengths {seen.least} to {seen.most}, {seen.n - seen.ids} repeated ids")
 
 
-def similar_pairs(vectors: DataFrame, threshold: float, tile: int = TILE) -> DataFrame:
+def _products(table: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, row, cosine) of similar rows of two tiles, or of one (each pair once, the lesser id first)."""
+    ids = table.column("id").to_numpy()
+    x = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    first = table.column("tile").to_numpy() == table.column("i").to_numpy()
+    alone = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+    left, right = (np.arange(len(ids)),) * 2 if alone else (np.flatnonzero(first), np.flatnonzero(~first))
+    for at in range(0, len(left), 256):
+        some = left[at : at + 256]
+        product = x[some] @ x[right].T
+        p, q = np.nonzero(product >= threshold)
+        a, b, s = some[p], right[q], product[p, q]
+        if alone:
+            keep = ids[a] < ids[b]
+            a, b, s = a[keep], b[keep], s[keep]
+        turn = ids[a] > ids[b]
+        yield np.where(turn, b, a), np.where(turn, a, b), s
+
+
+def _tiled(vectors: DataFrame, tiles: Column, *keys: str) -> DataFrame:
+    """A row of (keys, i, j, tile, id, policy, vector) for each pair of tiles that a vector is in."""
+    dealt = vectors.withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    units = dealt.select(*keys, F.least("tile", "other").cast("int").alias("i"), F.greatest("tile", "other").cast("int").alias("j"), "tile", "id", "policy", "vector")
+    return units.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
+
+
+def _plain(vectors: DataFrame) -> DataFrame:
+    return vectors.select(F.col("id").cast("long"), "policy", F.col("vector").cast("array<double>").alias("vector"))
+
+
+def similar_pairs(vectors: DataFrame, threshold: float, tile: int = TILE, across: bool = False) -> DataFrame:
     """(a, b, policy_a, policy_b, similarity), a below b, of all vectors with a cosine of threshold or more.
 
     Rows of (id long, policy string, vector) are dealt to tiles of about tile rows; a task multiplies two tiles. So the
-    exact join costs products of whole matrices, and a task holds two tiles however many rows there are.
+    exact join costs products of whole matrices, and a task holds two tiles however many rows there are. With across,
+    only pairs of different policies leave a task.
     """
-    many = vectors.count()
-    tiles = max(1, -(-many // tile))
-    dealt = vectors.select(F.col("id").cast("long"), "policy", F.col("vector").cast("array<double>").alias("vector")).withColumn("tile", F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int"))
-    units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).select(F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "policy", "vector")
+    tiles = F.lit(max(1, -(-vectors.count() // tile)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, 2):
-            ids, policy = table.column("id").to_numpy(), table.column("policy").to_pylist()
-            x = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-            x = x / np.linalg.norm(x, axis=1)[:, None]
-            first = table.column("tile").to_numpy() == table.column("i").to_numpy()
-            alone = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-            left, right = (np.arange(len(ids)),) * 2 if alone else (np.flatnonzero(first), np.flatnonzero(~first))
-            for at in range(0, len(left), 256):
-                some = left[at : at + 256]
-                product = x[some] @ x[right].T
-                p, q = np.nonzero(product >= threshold)
-                a, b, s = some[p], right[q], product[p, q]
-                if alone:
-                    keep = ids[a] < ids[b]
-                    a, b, s = a[keep], b[keep], s[keep]
-                turn = ids[a] > ids[b]
-                a, b = np.where(turn, b, a), np.where(turn, a, b)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array([policy[k] for k in a], pa.string()), pa.array([policy[k] for k in b], pa.string()), pa.array(s)], ["a", "b", "policy_a", "policy_b", "similarity"])
-
-    return units.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(rows, "a long, b long, policy_a string, policy_b string, similarity double")
+            ids, policy = table.column("id").to_numpy(), np.array(table.column("policy").to_pylist(), object)
+            for a, b, s in _products(table, threshold):
+                if across:
+                    a, b, s = (v[policy[a] != policy[b]] for v in (a, b, s))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(policy[a], pa.string()), pa.array(policy[b], pa.string()), pa.array(s)], ["a", "b", "policy_a", "policy_b", "similarity"])
+
+    return _tiled(_plain(vectors), tiles).mapInArrow(rows, "a long, b long, policy_a string, policy_b string, similarity double")
 
 
 def cross_policy(pairs: DataFrame) -> DataFrame:
@@ -74,19 +92,48 @@ def clusters(pairs: DataFrame, work: Workspace) -> DataFrame:
     return components(pairs.where("policy_a = policy_b").select("a", "b"), work).withColumnRenamed("component", "cluster")
 
 
-def representatives(members: DataFrame) -> DataFrame:
-    """Of rows (id, cluster, prompt, score): representative_id and duplicate_ids of each cluster.
+def policy_clusters(vectors: DataFrame, threshold: float, work: Workspace, tile: int = TILE) -> DataFrame:
+    """`clusters` from the vectors: tiles are of one policy, and a task sends the links that span what it found, not its pairs."""
+    plain = _plain(vectors).where("policy IS NOT NULL")
+    # the least id of a policy stands for it
+    sizes = work.save(plain.groupBy("policy").agg(F.count("*").alias("many"), F.min("id").alias("unit")), "policies")
+    units = _tiled(joined_to_groups(plain, sizes, "policy").withColumn("tiles", F.ceil(F.col("many") / F.lit(tile)).cast("int")), F.col("tiles"), "unit")
 
-    The best score wins (none is the lowest), then the shortest prompt, then the least id.
-    """
-    rank = F.struct((-F.coalesce(F.col("score").cast("double"), F.lit(-float("inf")))).alias("s"), F.length(stripped(F.col("prompt"))).alias("n"), F.col("id"))
-    best = members.groupBy("cluster").agg(F.min_by("id", rank).alias("representative_id"), F.array_sort(F.collect_list("id")).alias("ids"))
-    return best.select("cluster", "representative_id", F.array_remove("ids", F.col("representative_id")).alias("duplicate_ids"))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, 3):
+            ids = table.column("id").to_numpy()
+            found = [np.empty((2, 0), np.int64)]
+            for a, b, _ in _products(table, threshold):
+                root = local_roots(len(ids), a, b)
+                some = np.flatnonzero(root != np.arange(len(ids)))
+                found.append(np.stack([some, root[some]]))
+            a, b = np.concatenate(found, 1)
+            root = local_roots(len(ids), a, b)
+            some = np.flatnonzero(root != np.arange(len(ids)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(ids[root[some]])], ["a", "b"])
+
+    return components(units.mapInArrow(rows, "a long, b long"), work).withColumnRenamed("component", "cluster")
+
+
+def _rank() -> Column:
+    """The best score wins (none is the lowest), then the shortest prompt, then the least id."""
+    return F.struct((-F.coalesce(F.col("score").cast("double"), F.lit(-float("inf")))).alias("s"), F.length(stripped(F.col("prompt"))).alias("n"), F.col("id"))
+
+
+def duplicates(members: DataFrame) -> DataFrame:
+    """(cluster, id, representative_id) of rows (id, cluster, prompt, score) that aren't their cluster's representative."""
+    best = members.groupBy("cluster").agg(F.min_by("id", _rank()).alias("representative_id"), F.count("*").alias("many"))
+    return joined_to_groups(members.select("cluster", "id"), best, "cluster").where("id != representative_id").select("cluster", "id", "representative_id")
+
+
+def representatives(gone: DataFrame) -> DataFrame:
+    """For a report: representative_id and duplicate_ids of each cluster, from what `duplicates` gives."""
+    return gone.groupBy("cluster", "representative_id").agg(F.array_sort(F.collect_list("id")).alias("duplicate_ids"))
 
 
-def retained(records: DataFrame, chosen: DataFrame) -> DataFrame:
+def retained(records: DataFrame, gone: DataFrame) -> DataFrame:
     """Records that aren't the duplicate of a representative."""
-    return records.join(chosen.select(F.explode("duplicate_ids").alias("id")), "id", "left_anti")
+    return records.join(gone.select("id"), "id", "left_anti")
 
 
 def first_of_each(rows: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import LEVELS, stripped
+from ..functions.scalars import LEVELS, blank
 
 REQUIRED = ("id", "prompt", "violated_policy", "severity", "domain", "generation_rationale")
 BLAMES = ("generator_wrong", "both_wrong", "judge_wrong", "severity_disagreement", "both_right")
@@ -13,8 +13,8 @@ BLAMES = ("generator_wrong", "both_wrong", "judge_wrong", "severity_disagreement
 
 def record_problems(required: tuple[str, ...] = REQUIRED) -> Column:
     """What is wrong with a record; an empty array if nothing."""
-    missing = [F.when(F.coalesce(stripped(F.col(c).cast("string")), F.lit("")) == "", F.lit(f"missing {c}")) for c in required]
-    level = [F.when(~F.coalesce(F.col("severity").isin(*LEVELS), F.lit(False)), F.lit("severity out of range"))] if "severity" in required else []
+    missing = [F.when(blank(F.col(c)), F.lit(f"missing {c}")) for c in required]
+    level = [F.when(~blank(F.col("severity")) & ~F.col("severity").isin(*LEVELS), F.lit("severity out of range"))] if "severity" in required else []
     return F.array_compact(F.array(*missing, *level))
 
 

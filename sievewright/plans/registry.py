@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ALIASES, hash_order, severity_level
+from ..functions.scalars import ALIASES, blank, hash_order, severity_level
 from ..operators import metrics, parsing, planning, records, rendering, sampling, similarity, triage
 from ..operators.workspace import Workspace
 from . import views
@@ -50,12 +50,19 @@ def exact_dedup_first(spark, sf):
     return similarity.first_of_each(views.records(spark, sf).select("id", "doc_id"), "id", ["doc_id"])
 
 
-@_query("""SELECT doc_id, CAST(coalesce(trim(text), '') = '' AS INT) + CAST(doc_id % 6 = 0 AS INT) + CAST(doc_id % 4 = 0 AS INT) AS n_problems,
-  (coalesce(trim(text), '') = '' OR doc_id % 6 = 0 OR doc_id % 4 = 0) AS failed FROM documents""")
+_BLANK = f"coalesce({views.stripped_sql('text')}, '') = ''"
+
+
+@_query(f"""SELECT doc_id, CAST({_BLANK} AS INT) + CAST(doc_id % 6 = 0 AS INT) + CAST(doc_id % 4 = 0 AS INT) AS n_problems,
+  ({_BLANK} OR doc_id % 6 = 0 OR doc_id % 4 = 0) AS failed FROM documents""")
 def record_validation(spark, sf):
     """Problems of records, of which some are given a blank field or an unknown level."""
+    return _validated(spark, sf).select("doc_id", F.size("p").alias("n_problems"), (F.size("p") > 0).alias("failed"))
+
+
+def _validated(spark, sf):
     d = views.table(spark, sf, "documents").select("doc_id", F.concat(F.lit("r"), "doc_id").alias("id"), F.col("text").alias("prompt"), F.coalesce("lang", F.lit("x")).alias("violated_policy"), F.when(F.col("doc_id") % 4 == 0, "extreme").otherwise("low").alias("severity"), F.when(F.col("doc_id") % 6 == 0, " \t").otherwise("d").alias("domain"), F.lit("why").alias("generation_rationale"))
-    return d.withColumn("p", triage.record_problems()).select("doc_id", F.size("p").alias("n_problems"), (F.size("p") > 0).alias("failed"))
+    return d.withColumn("p", triage.record_problems())
 
 
 _POLICIES = "policies AS (SELECT n_name AS policy_id, n_nationkey AS ordinal FROM nation)"
@@ -115,16 +122,16 @@ def pilot_plan(spark, sf):
     return planning.pilot_plan(views.policies(spark, sf))
 
 
-@_query(r"""WITH shared AS (SELECT item_id, text, greatest(200, 6000 // count(*) OVER ())::INT AS share FROM benchmark)
-SELECT item_id, '--- b' || item_id || E' ---\n' || CASE WHEN length(text) > share THEN rtrim(substr(text, 1, share)) || E'\n…(truncated)' ELSE text END AS section FROM shared""")
+@_query(rf"""WITH shared AS (SELECT item_id, text, greatest(200, 6000 // count(*) OVER ())::INT AS share FROM benchmark)
+SELECT item_id, '--- b' || item_id || E' ---\n' || CASE WHEN length(text) > share THEN {views.right_stripped_sql('substr(text, 1, share)')} || E'\n…(truncated)' ELSE text END AS section FROM shared""")
 def aux_context_sections(spark, sf):
     """Auxiliary texts cut to an even share of a budget."""
     b = views.table(spark, sf, "benchmark").select("item_id", F.concat(F.lit("b"), "item_id").alias("name"), "text", F.col("item_id").alias("ordinal"))
     return rendering.context_sections(b, 6000).select("item_id", "section")
 
 
-@_query(r"""WITH shared AS (SELECT item_id, text, greatest(200, 6000 // count(*) OVER ())::INT AS share FROM benchmark)
-SELECT count(*)::INT AS n_documents, sha256(string_agg('--- b' || item_id || E' ---\n' || CASE WHEN length(text) > share THEN rtrim(substr(text, 1, share)) || E'\n…(truncated)' ELSE text END, E'\n\n' ORDER BY item_id)) AS digest FROM shared""")
+@_query(rf"""WITH shared AS (SELECT item_id, text, greatest(200, 6000 // count(*) OVER ())::INT AS share FROM benchmark)
+SELECT count(*)::INT AS n_documents, sha256(string_agg('--- b' || item_id || E' ---\n' || CASE WHEN length(text) > share THEN {views.right_stripped_sql('substr(text, 1, share)')} || E'\n…(truncated)' ELSE text END, E'\n\n' ORDER BY item_id)) AS digest FROM shared""")
 def aux_context_block(spark, sf):
     """The block of all auxiliary texts, by its digest."""
     b = views.table(spark, sf, "benchmark").select(F.concat(F.lit("b"), "item_id").alias("name"), "text", F.col("item_id").alias("ordinal"))
@@ -209,11 +216,11 @@ def parse_strategy_histogram(spark, sf):
     return views.replies(spark, sf).select(parsing.parse_reply("raw").strategy.alias("strategy")).groupBy("strategy").agg(F.count("*").alias("n"))
 
 
-@_query(r"""SELECT doc_id, 1 AS n_prompts, CASE WHEN doc_id % 5 = 4 THEN NULL ELSE md5(trim(text, E' \t\r\n')) END AS digest FROM documents WHERE text IS NOT NULL""")
+@_query(rf"""SELECT doc_id, 1 AS n_prompts, md5({views.stripped_sql("CASE WHEN doc_id % 5 = 4 THEN 'p' || regexp_replace(text, '[\r\n]', ' ', 'g') ELSE text END")}) AS digest FROM documents WHERE text IS NOT NULL""")
 def parse_cascade(spark, sf):
     """Prompts that the parser recovers from untidy replies."""
     p = views.replies(spark, sf).select("doc_id", parsing.parse_reply("raw").alias("p"))
-    return p.select("doc_id", F.size("p.prompts").alias("n_prompts"), F.when(F.col("doc_id") % 5 != 4, F.md5(F.col("p.prompts")[0]["prompt"])).alias("digest"))
+    return p.select("doc_id", F.size("p.prompts").alias("n_prompts"), F.md5(F.col("p.prompts")[0]["prompt"]).alias("digest"))
 
 
 @_query("""SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN NULL WHEN doc_id % 4 = 0 THEN 'violation' WHEN doc_id % 4 = 1 THEN 'non_violation' ELSE 'ambiguous' END AS verdict,
@@ -228,22 +235,37 @@ def judge_parse(spark, sf):
     return d.select("doc_id", "j.verdict", "j.matched_policy_id", F.col("j.judge_error").isNotNull().alias("failed"))
 
 
-@_query()
+#: Each policy's entries one after the other: what is left of the call's quota, and the ids kept so far.
+_QUOTA = f"""WITH RECURSIVE {views.RECORDS}, e AS (SELECT violated_policy AS policy_id, doc_id // 7 AS call_idx, (doc_id % 7)::INT AS pos, id, {_BLANK.replace('text', 'prompt')} OR severity = 'high' AND doc_id % 3 = 0 AS bad,
+  row_number() OVER (PARTITION BY violated_policy ORDER BY doc_id // 7, doc_id % 7) AS rn FROM records WHERE prompt IS NOT NULL AND violated_policy IS NOT NULL),
+fold AS (SELECT DISTINCT policy_id, 0::BIGINT AS rn, NULL::BIGINT AS call_idx, NULL::INT AS pos, NULL::VARCHAR AS id, 0 AS quota, false AS told, false AS kept, []::VARCHAR[] AS seen FROM e
+  UNION ALL SELECT policy_id, rn, call_idx, pos, id, quota - kept::INT, told, kept, CASE WHEN kept THEN list_append(seen, id) ELSE seen END
+  FROM (SELECT *, quota > 0 AND NOT bad AND NOT list_contains(seen, id) AS kept, quota > 0 AND (bad OR NOT list_contains(seen, id)) AS told
+    FROM (SELECT e.*, f.seen, CASE WHEN e.call_idx = f.call_idx THEN f.quota ELSE 5 END AS quota FROM fold f JOIN e ON e.policy_id = f.policy_id AND e.rn = f.rn + 1)))"""
+
+
+def _folded(spark, sf):
+    r = views.records(spark, sf).where("prompt IS NOT NULL AND violated_policy IS NOT NULL")
+    bad = F.array_compact(F.array(F.when(blank(F.col("prompt")), "missing prompt"), F.when((F.col("severity") == "high") & (F.col("doc_id") % 3 == 0), "unfit")))
+    return records.quota_folded(r.select(F.col("violated_policy").alias("policy_id"), F.floor(F.col("doc_id") / 7).alias("call_idx"), (F.col("doc_id") % 7).cast("int").alias("pos"), F.lit(5).alias("quota"), "prompt", bad.alias("problems")))
+
+
+@_query(f"{_QUOTA} SELECT policy_id, call_idx, pos, id, kept FROM fold WHERE told")
 def quota_trim_backfill(spark, sf):
-    """Each call's quota of new prompts: a fold in order of calls, which SQL has no form for."""
-    d = views.table(spark, sf, "documents").where("text IS NOT NULL AND lang IS NOT NULL")
-    entries = d.select(F.col("lang").alias("policy_id"), F.floor(F.col("doc_id") / 7).alias("call_idx"), (F.col("doc_id") % 7).cast("int").alias("pos"), F.lit(5).alias("quota"), F.col("text").alias("prompt"))
-    return records.quota_trimmed(entries).drop("prompt")
+    """Each call's quota of new prompts, and the unfit ones that it met; a fold in order of calls."""
+    return _folded(spark, sf).drop("prompt")
 
 
 @_query(f"""WITH {views.JUDGED} SELECT 'api' AS stage, doc_id, violated_policy, NULL AS response_chars, NULL::VARCHAR AS problem FROM judged WHERE judge_error = 'api'
-UNION ALL SELECT 'parse', j.doc_id, j.violated_policy, n_chars, NULL FROM judged j JOIN documents USING (doc_id) WHERE judge_error = 'parse' UNION ALL SELECT 'validate', doc_id, violated_policy, NULL, 'severity' FROM judged WHERE doc_id % 50 = 0""")
+UNION ALL SELECT 'parse', j.doc_id, j.violated_policy, n_chars, NULL FROM judged j JOIN documents USING (doc_id) WHERE judge_error = 'parse'
+UNION ALL SELECT 'validate', doc_id, coalesce(lang, 'x'), NULL, unnest([x FOR x IN [CASE WHEN {_BLANK} THEN 'missing prompt' END, CASE WHEN doc_id % 6 = 0 THEN 'missing domain' END, CASE WHEN doc_id % 4 = 0 THEN 'severity out of range' END] IF x IS NOT NULL]) FROM documents""")
 def failure_union(spark, sf):
-    """Failures of three stages in one table."""
+    """Failures of three stages in one table; those of validation are what is found in all records."""
     j = views.judged(spark, sf)
     sizes = views.table(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("response_chars"))
     parse = j.where("judge_error = 'parse'").select("doc_id", "violated_policy").join(sizes, "doc_id")
-    out = triage.failures(j.where("judge_error = 'api'").select("doc_id", "violated_policy"), parse, j.where("doc_id % 50 = 0").select("doc_id", "violated_policy", F.lit("severity").alias("problem")))
+    wrong = _validated(spark, sf).select("doc_id", "violated_policy", F.explode("p").alias("problem"))
+    out = triage.failures(j.where("judge_error = 'api'").select("doc_id", "violated_policy"), parse, wrong)
     return out.select("stage", "doc_id", "violated_policy", "response_chars", "problem")
 
 
@@ -321,12 +343,12 @@ def _edges(spark, sf):
 
 
 def _clusters(spark, sf):
-    return similarity.clusters(_edges(spark, sf), Workspace(spark, "clusters"))
+    return similarity.policy_clusters(views.vectors(spark, sf), SIMILAR, Workspace(spark, "clusters"))
 
 
-def _chosen(spark, sf):
+def _duplicates(spark, sf):
     scored = views.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.rpad(F.lit("x"), (F.col("vec_id") % 5 + 1).cast("int"), F.lit("x")).alias("prompt"), F.when(F.col("vec_id") % 3 != 0, (F.col("vec_id") % 4).cast("double")).alias("score"))
-    return similarity.representatives(_clusters(spark, sf).join(scored, "id"))
+    return similarity.duplicates(_clusters(spark, sf).join(scored, "id"))
 
 
 _CHOSEN = f"""{_REACH}, ranked AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY CASE WHEN id % 3 <> 0 THEN id % 4 END DESC NULLS LAST, id % 5, id) AS r FROM members)"""
@@ -341,7 +363,7 @@ def near_dup_edges(spark, sf):
 @_query(f"WITH {_EDGES} SELECT a, b, array_to_string(list_sort([policy_a, policy_b]), ',') AS policies FROM edges WHERE policy_a <> policy_b")
 def cross_policy_audit(spark, sf):
     """Similar pairs of different policies."""
-    return similarity.cross_policy(_edges(spark, sf)).select("a", "b", F.array_join("policies", ",").alias("policies"))
+    return similarity.cross_policy(similarity.similar_pairs(views.vectors(spark, sf), SIMILAR, across=True)).select("a", "b", F.array_join("policies", ",").alias("policies"))
 
 
 @_query(f"WITH RECURSIVE {_REACH} SELECT id, cluster FROM members")
@@ -353,13 +375,13 @@ def dup_clusters(spark, sf):
 @_query(f"WITH RECURSIVE {_CHOSEN} SELECT cluster, min(id) FILTER (r = 1) AS representative_id, string_agg(id::VARCHAR, ',' ORDER BY id) FILTER (r > 1) AS duplicates FROM ranked GROUP BY cluster")
 def representatives(spark, sf):
     """Which record of each cluster stays."""
-    return _chosen(spark, sf).select("cluster", "representative_id", F.array_join(F.col("duplicate_ids").cast("array<string>"), ",").alias("duplicates"))
+    return similarity.representatives(_duplicates(spark, sf)).select("cluster", "representative_id", F.array_join(F.col("duplicate_ids").cast("array<string>"), ",").alias("duplicates"))
 
 
 @_query(f"WITH RECURSIVE {_CHOSEN} SELECT label::VARCHAR AS policy, count(*) AS n FROM embeddings WHERE vec_id NOT IN (SELECT id FROM ranked WHERE r > 1) GROUP BY 1")
 def deduped(spark, sf):
     """Records by policy that remain."""
-    return similarity.retained(views.vectors(spark, sf).select("id", "policy"), _chosen(spark, sf)).groupBy("policy").agg(F.count("*").alias("n"))
+    return similarity.retained(views.vectors(spark, sf).select("id", "policy"), _duplicates(spark, sf)).groupBy("policy").agg(F.count("*").alias("n"))
 
 
 @_query(f"""WITH {views.JUDGED}, s AS (SELECT doc_id, violated_policy, coalesce(verdict, 'unjudged') AS stratum FROM judged), r AS (SELECT *, row_number() OVER (PARTITION BY violated_policy, stratum ORDER BY md5('42:' || doc_id), doc_id) AS turn FROM s)
@@ -455,11 +477,13 @@ def allowed_feedback(spark, sf):
     return out.select("policy_id", F.array_join("allowed_examples", ",").alias("allowed"))
 
 
-@_query("""SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS row FROM labels""")
+@_query(f"""WITH {views.RECORDS} SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS row, violated_policy, severity, md5(prompt) AS digest FROM records SEMI JOIN labels USING (doc_id)""")
 def blind_sheet(spark, sf):
-    """Numbers of labelled rows on a blind sheet."""
-    rows = views.gold(spark, sf).select(F.col("doc_id").alias("id"), F.lit("p").alias("prompt"), F.lit("x").alias("violated_policy"), F.lit("low").alias("severity"))
-    return sampling.blind_sheet(rows)[1].select(F.col("id").alias("doc_id"), F.col("row").cast("long").alias("row"))
+    """A blind sheet of the labelled records and its key, joined again."""
+    labelled = views.table(spark, sf, "labels").select("doc_id").distinct()
+    rows = views.records(spark, sf).join(labelled, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "prompt", "violated_policy", "severity")
+    sheet, key = sampling.blind_sheet(rows)
+    return key.join(sheet, "row").select(F.col("id").alias("doc_id"), F.col("row").cast("long").alias("row"), "violated_policy", "severity", F.md5("prompt").alias("digest"))
 
 
 @_query(f"""WITH {views.JUDGED}, plan AS (SELECT violated_policy AS policy_id, severity, count(*) AS requested FROM judged GROUP BY 1, 2),

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import content_id, stripped
+from ..functions.scalars import blank, content_id, stripped
 from ..operators import metrics, parsing, planning, records, rendering, sampling, similarity, triage
 from ..operators.workspace import Workspace, ship
 from ..sources import files
@@ -30,7 +30,13 @@ def context_of(spark: SparkSession, run: Run) -> str:
 
 
 def policies_of(spark: SparkSession, run: Run) -> DataFrame:
-    return select_policies(load_policies(spark, run.policy_file), run.policies)
+    return select_policies(load_policies(spark, run.policy_file), run.policy_ids)
+
+
+def models_of(run: Run, model: str | None = None) -> list[tuple[str, float]]:
+    """(model, share) of the run's generators, or of a named model alone; without either, of the run's model."""
+    weights = [] if model else [(g.model, g.weight) for g in run.generators]
+    return planning.shares(weights or [((model or run.model).strip(), 1.0)])
 
 
 def requests(spark: SparkSession, run: Run, model: str | None = None) -> DataFrame:
@@ -41,7 +47,7 @@ def requests(spark: SparkSession, run: Run, model: str | None = None) -> DataFra
         cells = planning.pilot_cells(known, run.pilot_per_cell)
     else:
         cells = planning.plan_cells(known, run.total, run.severity_ratio or None)
-    plan = planning.plan_chunks(planning.plan_models(cells, run.effective_generators(model)), run.max_prompts_per_call)
+    plan = planning.plan_chunks(planning.plan_models(cells, models_of(run, model)), run.max_prompts_per_call)
     made = rendering.rendered(plan, policies, run.domain, context)
     order = F.struct("ordinal", "level", "place", "chunk")
     # a plan has as many rows as calls to a paid endpoint, so that numbering them in one window is no burden
@@ -60,12 +66,15 @@ def build_records(completions: DataFrame, run: Run, asked: DataFrame | None = No
     api = completions.where("NOT coalesce(ok, false)").select("policy_id", "severity", F.col("count").alias("requested"), "error")
     parse = ok.where("p.strategy = 'none'").select("policy_id", "severity", F.col("count").alias("requested"), F.col("p.error").alias("error"), "finish_reason", F.length("content").alias("response_chars"))
     entries = ok.select("policy_id", "call_idx", F.col("count").cast("int").alias("quota"), "severity", "model", F.col("p.strategy").alias("parse_strategy"), F.posexplode("p.prompts").alias("pos", "e")).select("*", F.col("e.prompt").alias("prompt"), F.col("e.generation_rationale").alias("generation_rationale")).drop("e")
-    kept = records.quota_trimmed(entries.select("policy_id", "call_idx", "pos", "quota", "prompt")).select("policy_id", "call_idx", "pos", "id")
     reason = F.coalesce(F.nullif(stripped(F.col("generation_rationale")), F.lit("")), F.lit(NO_REASON))
-    made = entries.join(kept, ["policy_id", "call_idx", "pos"]).withColumn("violated_policy", F.col("policy_id")).withColumn("domain", F.lit(run.domain or "general")).withColumn("generation_rationale", reason)
-    checked = made.withColumn("problems", triage.record_problems())
-    wrong = checked.where("size(problems) > 0").select("policy_id", "severity", F.array_join("problems", "; ").alias("error"))
-    fine = checked.where("size(problems) = 0")
+    whole = entries.withColumn("violated_policy", F.col("policy_id")).withColumn("domain", F.lit(run.domain or "general")).withColumn("generation_rationale", reason)
+    whole = whole.withColumn("id", content_id(F.col("policy_id"), F.col("prompt"))).withColumn("problems", triage.record_problems())
+    # parsed once, and read by the fold and by what takes its answer
+    whole = Workspace(completions.sparkSession, "records").save(whole, "entries")
+    folded = records.quota_folded(whole.select("policy_id", "call_idx", "pos", "quota", "prompt", "problems")).select("policy_id", "call_idx", "pos", "kept")
+    checked = whole.join(folded, ["policy_id", "call_idx", "pos"])
+    wrong = checked.where("NOT kept").select("policy_id", "severity", F.array_join("problems", "; ").alias("error"))
+    fine = checked.where("kept")
     none = F.lit(None).cast("string")
     if policies is None:
         fine = fine.withColumns({"policy_statement": none, "policy_sha256": none, "policy_version": none})
@@ -147,10 +156,11 @@ def dedup(rows: DataFrame, vectors: DataFrame, threshold: float) -> tuple[DataFr
         raise similarity.VectorError(f"records without a vector: {[r.id for r in bare]}")
     score = F.col("score") if "score" in rows.columns else F.lit(None).cast("double")
     numbered = work.save(rows.select("id", "prompt", F.col("violated_policy").alias("policy"), score.alias("score")).join(vectors, "id").withColumn("text_id", F.col("id")).orderBy("id").withColumn("id", F.monotonically_increasing_id()), "numbered")
-    pairs = work.save(similarity.similar_pairs(numbered.select("id", "policy", "vector"), threshold), "pairs")
-    chosen = similarity.representatives(similarity.clusters(pairs, work).join(numbered.select("id", "prompt", "score"), "id"))
+    vectored = numbered.select("id", "policy", "vector")
+    members = work.save(similarity.policy_clusters(vectored, threshold, work).join(numbered.select("id", "prompt", "score"), "id"), "members")
     names = numbered.select("id", "text_id", "policy")
-    gone = chosen.select("representative_id", F.explode("duplicate_ids").alias("id")).join(names, "id").select("representative_id", F.col("text_id").alias("duplicate"), "policy")
+    gone = work.save(similarity.duplicates(members).join(names, "id").select("representative_id", F.col("text_id").alias("duplicate"), "policy"), "gone")
+    pairs = work.save(similarity.similar_pairs(vectored, threshold, across=True), "pairs")
     told = gone.join(names.select(F.col("id").alias("representative_id"), F.col("text_id").alias("representative")), "representative_id").groupBy("representative", "policy").agg(F.array_sort(F.collect_list("duplicate")).alias("duplicate_ids"))
     crossing = similarity.cross_policy(pairs).join(names.select(F.col("id").alias("a"), F.col("text_id").alias("a_id")), "a").join(names.select(F.col("id").alias("b"), F.col("text_id").alias("b_id")), "b").select("a_id", "b_id", "policies", "similarity")
     return rows.join(gone.select(F.col("duplicate").alias("id")), "id", "left_anti"), told, crossing
@@ -165,7 +175,7 @@ def worksheet(judged: DataFrame, n: int = 50, seed: int = 42) -> DataFrame:
 
 def review(labels: DataFrame, judged: DataFrame) -> dict[str, Any]:
     """Blame counts and agreement of labelled rows; unlabelled ones are told, unknown labels are an error."""
-    known = labels.where("gold_verdict IS NOT NULL AND trim(gold_verdict) != ''")
+    known = labels.where(~blank(F.col("gold_verdict")))
     if not known.where("gold_verdict NOT IN ('violation', 'non_violation')").isEmpty():
         raise ValueError("labels are violation or non_violation")
     if not known.join(judged.select("id"), "id", "left_anti").isEmpty():

@@ -22,6 +22,18 @@ def level_of(number: Column) -> Column:
     return F.when(number % 3 == 0, "low").when(number % 3 == 1, "medium").otherwise("high")
 
 
+#: White space in SQL, as functions.scalars has it.
+SPACE = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def stripped_sql(text: str) -> str:
+    return rf"regexp_replace({text}, '\A{SPACE}+|{SPACE}+\z', '', 'g')"
+
+
+def right_stripped_sql(text: str) -> str:
+    return rf"regexp_replace({text}, '{SPACE}+\z', '')"
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, id, prompt, violated_policy, model, severity, n_chars)."""
     d = table(spark, sf_dir, "documents")
@@ -29,8 +41,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", content_id(F.col("lang"), F.col("text")).alias("id"), F.col("text").alias("prompt"), F.col("lang").alias("violated_policy"), F.col("source").alias("model"), size.alias("severity"), "n_chars")
 
 
-RECORDS = r"""records AS (
-  SELECT doc_id, 'hp_' || substr(sha256(lang || chr(0) || regexp_replace(text, '\A[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+|[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+\z', '', 'g')), 1, 16) AS id,
+RECORDS = rf"""records AS (
+  SELECT doc_id, 'hp_' || substr(sha256(lang || chr(0) || {stripped_sql('text')}), 1, 16) AS id,
     text AS prompt, lang AS violated_policy, source AS model, CASE WHEN n_chars < 1000 THEN 'low' WHEN n_chars < 4000 THEN 'medium' ELSE 'high' END AS severity, n_chars FROM documents)"""
 
 

@@ -39,8 +39,9 @@ def read_records(spark: SparkSession, path: str, schema: str, unique: str | None
 
 
 def write_records(df: DataFrame, path: str) -> str:
-    """Writes JSON lines, committed as a whole, and returns a digest that doesn't depend on files or order of rows."""
+    """Writes JSON lines, committed as a whole, and returns a digest of what was written, whatever its files and order."""
     df.write.mode("overwrite").json(path)
+    df = df.sparkSession.read.schema(df.schema).json(path)
     whole = F.sha2(F.to_json(F.struct(*df.columns)), 256)
     sums = [F.sum(F.conv(F.substring(whole, 1 + 8 * k, 8), 16, 10).cast("long")) for k in range(8)]
     row = df.agg(F.count("*"), *sums).first()

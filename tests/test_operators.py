@@ -66,6 +66,10 @@ def test_strip_and_ids(spark):
         ("", [], "none"),
         (None, [], "none"),
         ('{"prompt": "a \\" } b"}', ['a " } b'], "json"),
+        ("[" * 200_000, [], "none"),
+        ('{"a":' * 3000 + '{"prompt":"deep"}', ["deep"], "json_salvaged"),
+        ('{"prompt": "hi \\ud83d"}', ["hi \ufffd"], "json"),
+        ('{"prompt": "hi \\ud83d\\ude00"}', ["hi \U0001f600"], "json"),
     ],
 )
 def test_replies(raw, prompts, strategy):
@@ -80,6 +84,18 @@ def test_whole_objects_survive_a_cut(texts, cut):
     assert found == list(dict.fromkeys(t.strip() for t in texts))
 
 
+def test_objects_are_salvaged_from_within():
+    found = parsing.salvaged('{"x":[{"prompt":"a"},{"y":{"prompt":"b"},"prompt":"c"}]} and {"prompt":"d"} {bad {"prompt":"e"} {"prompt":"a"}} {"z":{"prompt":"f"} {"text":"g')
+    assert [p for p, _ in found] == ["a", "b", "c", "d", "e", "f"]
+
+
+def test_one_odd_reply_fails_no_job(spark):
+    raw = ["[" * 200_000, '{"prompt": "hi \\ud83d"}', "{" * 50_000 + "}" * 50_000, '["a"]', '{"verdict":"\\ud800"}', "\x00"]
+    df = spark.createDataFrame([(r,) for r in raw], "raw string")
+    got = df.select(parsing.parse_reply("raw").alias("p"), parsing.parse_judgment("raw", F.lit("x")).alias("j")).collect()
+    assert [len(r.p.prompts) for r in got] == [0, 1, 0, 1, 0, 0] and all(r.j.judge_error for r in got)
+
+
 def test_judgments_are_strict():
     good = {"verdict": "violation", "matched_policy_id": "p", "severity": "low", "requires_external_context": False, "decision_summary": " s "}
     assert parsing.parsed_judgment(json.dumps(good), "p")["decision_summary"] == "s"
@@ -111,6 +127,8 @@ def test_clusters_and_cross_policy_pairs(spark):
     for tile in (1, 1024):
         pairs = similarity.similar_pairs(v, 0.9, tile)
         assert {(r.a, r.b) for r in pairs.collect()} == {(1, 2), (1, 3), (2, 3)}
+        assert {(r.id, r.cluster) for r in similarity.policy_clusters(v, 0.9, Workspace(spark, "t"), tile).collect()} == {(1, 1), (2, 1)}
+        assert {(r.a, r.b) for r in similarity.similar_pairs(v, 0.9, tile, across=True).collect()} == {(1, 3), (2, 3)}
     assert {(r.id, r.cluster) for r in similarity.clusters(pairs, Workspace(spark, "t")).collect()} == {(1, 1), (2, 1)}
     assert {(r.a, r.b) for r in similarity.cross_policy(pairs).collect()} == {(1, 3), (2, 3)}
     for bad in ([0.0, 0.0], [float("nan"), 1.0], [1.0], None):
@@ -125,6 +143,29 @@ def test_components_of_chains_stars_and_rings(spark):
     assert components(spark.createDataFrame([], "a long, b long"), Workspace(spark, "t")).count() == 0
 
 
+def test_clusters_of_many_policies(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = [(k, f"p{k % 3}" if k % 3 else "big", (np.eye(8)[k % 8] + rng.normal(size=8) * 0.16).tolist()) for k in range(150)]
+    v = spark.createDataFrame(rows, "id long, policy string, vector array<double>")
+    want = {(r.id, r.cluster) for r in similarity.clusters(similarity.similar_pairs(v, 0.9), Workspace(spark, "t")).collect()}
+    for tile in (7, 1024):
+        assert {(r.id, r.cluster) for r in similarity.policy_clusters(v, 0.9, Workspace(spark, "t"), tile).collect()} == want
+    assert len(want) > 50
+
+
+def test_white_space_of_every_kind_is_cut(spark):
+    from sievewright.operators import rendering
+
+    docs = spark.createDataFrame([("n", "x" * 190 + " \t\n\u3000\u00a0" * 4 + "y" * 50, 0)], "name string, text string, ordinal int")
+    assert rendering.context_sections(docs, 200).first().section == "--- n ---\n" + "x" * 190 + rendering.CUT
+
+
+def test_levels_of_spellings():
+    assert [scalars.level_word(x) for x in ("Low", "MODERATE", "Level_3", "level 2 / moderate", "  minor ", "critical/high", "unknown", "L-1", 3)] == ["low", "medium", "high", "medium", "low", "high", None, None, "high"]
+
+
 def test_sample_is_fair(spark):
     rows = spark.range(200).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") < 150, "p").otherwise("q").alias("violated_policy"), F.lit("v").alias("stratum"))
     got = [r.violated_policy for r in sampling.stratified(rows, 20).collect()]

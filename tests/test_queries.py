@@ -4,7 +4,7 @@ import pytest
 from conftest import DATA, plain
 
 import __spark_entry__
-from sievewright.operators import parsing
+from sievewright.operators import parsing, records
 from sievewright.plans import registry, views
 
 
@@ -19,15 +19,36 @@ def test_entry_and_names(spark):
 
 
 def test_quota_fold_matches_python(spark):
-    got = {(r.policy_id, r.call_idx, r.pos) for r in registry.quota_trim_backfill(spark, DATA).collect()}
-    rows = sorted((r.lang, r.doc_id // 7, r.doc_id % 7, r.text.strip()) for r in spark.read.parquet(f"{DATA}/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL").collect())
+    rows = sorted((r.lang, r.doc_id // 7, r.doc_id % 7, r.text.strip(), r.n_chars >= 4000 and r.doc_id % 3 == 0) for r in spark.read.parquet(f"{DATA}/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL").collect())
     seen, left, want = set(), {}, set()
-    for lang, call, pos, text in rows:
-        if left.setdefault((lang, call), 5) and (lang, text) not in seen:
+    for lang, call, pos, text, unfit in rows:
+        if not left.setdefault((lang, call), 5):
+            continue
+        if unfit or not text:
+            want.add((lang, call, pos, False))
+        elif (lang, text) not in seen:
             seen.add((lang, text))
             left[lang, call] -= 1
-            want.add((lang, call, pos))
-    assert got == want
+            want.add((lang, call, pos, True))
+    assert {(r.policy_id, r.call_idx, r.pos, r.kept) for r in registry.quota_trim_backfill(spark, DATA).collect()} == want
+
+
+def test_quota_fold_of_many_repeats(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(rng.choice("pq"), call, pos, 3, rng.choice(["a", "b", "c", "d", f"x{rng.randrange(30)}", " "]), ["bad"] if rng.random() < 0.1 else []) for call in range(80) for pos in range(rng.randrange(7))]
+    seen, left, want = set(), {}, set()
+    for p, call, pos, quota, prompt, bad in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        if left.setdefault((p, call), quota) and (bad or (p, prompt.strip()) not in seen):
+            want.add((p, call, pos, not bad))
+            if not bad:
+                seen.add((p, prompt.strip()))
+                left[p, call] -= 1
+    df = spark.createDataFrame(rows, "policy_id string, call_idx long, pos int, quota int, prompt string, problems array<string>")
+    got = records.quota_folded(df).collect()
+    assert {(r.policy_id, r.call_idx, r.pos, r.kept) for r in got} == want and len(got) == len(want)
+    assert all(r.prompt.strip() for r in records.quota_trimmed(df.drop("problems")).collect())
 
 
 def test_labelled_replies_hold_whole_texts(spark):

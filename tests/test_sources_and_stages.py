@@ -37,12 +37,48 @@ def test_policy_errors(lines, said):
         parsed_lines(lines)
 
 
-def test_settings():
-    run = config.from_mapping({"total": 5, "api_key_env": "K", "generators": ["m", {"model": "n", "weight": 3}]}, {"total": 9, "domain": None})
-    assert run.total == 9 and run.effective_generators() == [("m", 0.25), ("n", 0.75)] and run.judge.api_key_env == "K" and "api_key_env" not in json.dumps(run.shown())
-    for bad in ({"odd": 1}, {"total": 0}, {"judge": {"x": 1}}, {"semantic_dedup": {"threshold": float("nan")}}, {"generators": ["m", "m"]}):
+NEEDED = {"policy_file": "p.jsonl", "domain": "d"}
+# Settings as users of the format have them.
+FULL = {
+    "policy_file": "policies/some.jsonl", "policy_ids": [], "domain": "support", "language": "Traditional Chinese (Taiwan)", "total": 90, "severity_ratio": {"low": 0.3, "medium": 0.4, "high": 0.3},
+    "aux_documents": ["aux/overview.md"], "aux_char_budget": 6000, "model": "m", "base_url": "https://host/v1", "api_key_env": "KEY", "temperature": 1.0, "max_tokens": 8192, "max_prompts_per_call": 5,
+    "concurrency": 4, "max_retries": 3, "timeout": 300, "generators": [], "output_dir": "../output", "run_id": None,
+    "judge": {"enabled": False, "model": "j", "base_url": None, "api_key_env": None, "temperature": 0.0, "max_tokens": 4096, "concurrency": 2, "max_retries": 3, "timeout": 300, "reasoning_effort": "high", "require_severity_match": False, "include_aux_context": True},
+    "semantic_dedup": {"enabled": False, "provider": "sentence_transformers", "model": "e", "threshold": 0.90, "batch_size": 16},
+}
+
+
+def test_settings(tmp_path):
+    run = config.from_mapping(NEEDED | {"total": 5, "api_key_env": "K", "generators": ["m", {"model": "n", "weight": 3}], "policy_ids": "A"}, {"total": 9, "domain": None})
+    assert run.total == 9 and run.policy_ids == ["A"] and run.judge.api_key_env == "K" and "api_key_env" not in json.dumps(run.shown()) and run.shown()["generators"][1] == {"model": "n", "weight": 3}
+    assert stages.models_of(run) == [("m", 0.25), ("n", 0.75)] and stages.models_of(run, " x ") == [("x", 1.0)] and stages.models_of(config.from_mapping(NEEDED | {"model": "m"})) == [("m", 1.0)]
+    for bad in (
+        {"odd": 1}, {"total": 0}, {"total": 2.5}, {"max_prompts_per_call": 0.5}, {"max_retries": 1.5}, {"max_retries": -1}, {"temperature": 3}, {"timeout": 0}, {"policy_file": " "}, {"domain": ""}, {"judge": {"x": 1}}, {"judge": 3},
+        {"judge": {"reasoning_effort": "max"}}, {"judge": {"max_tokens": True}}, {"semantic_dedup": {"threshold": float("nan")}}, {"semantic_dedup": {"provider": "other"}}, {"generators": ["m", "m"]}, {"generators": {"model": "m"}}, {"generators": [{"model": " "}]},
+    ):
         with pytest.raises(config.ConfigError):
-            config.from_mapping(bad)
+            config.from_mapping(NEEDED | bad)
+    full = config.from_mapping(FULL)
+    assert full.judge.base_url == full.base_url and full.judge.api_key_env == "KEY" and full.max_tokens == 8192 and full.semantic_dedup.model == "e"
+    (tmp_path / "s.json").write_text(json.dumps(FULL))
+    assert config.load(str(tmp_path / "s.json")).policy_file == str(tmp_path / "policies/some.jsonl")
+
+
+def test_yaml_settings(tmp_path):
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "s.yaml").write_text(yaml.safe_dump(FULL))
+    assert config.load(str(tmp_path / "s.yaml")) == config.from_mapping(FULL).resolved(tmp_path)
+
+
+def test_policy_digests():
+    """The digest of a policy's JSON: all of its fields, sorted by name, without spaces."""
+    made = parsed_lines([json.dumps({"policy_id": "X", "policy": " r ", "severity": {"minor": "a", "L2": "b", "high": "c"}, "example_prompts": {"high": ["two"], "low": "one"}, "domain": " d ", "notes": "n", "policy_zh_TW": "甲"})])[0]
+    text = '{"allowed_examples":[],"definitions":{},"domain":"d","example_prompts":["one","two"],"examples_by_severity":{"high":["two"],"low":["one"]},"notes":"n","policy":"r","policy_id":"X","policy_version":null,"policy_zh_tw":"甲","severity":{"high":"c","low":"a","medium":"b"}}'
+    assert made["sha256"] == hashlib.sha256(text.encode()).hexdigest() and made["effective_version"] == "sha256:" + made["sha256"][:12]
+    flat = parsed_lines([json.dumps({"policy_id": "X", "policy": "r", "severity": {"low": "a", "medium": "b", "high": "c"}, "example_prompts": ["one", "two"]})])[0]
+    keyed = parsed_lines([json.dumps({"policy_id": "X", "policy": "r", "severity": {"low": "a", "medium": "b", "high": "c"}, "example_prompts": {"low": ["one"], "high": ["two"]}})])[0]
+    assert flat["example_prompts"] == keyed["example_prompts"] and flat["sha256"] != keyed["sha256"]
+    assert len({parsed_lines([json.dumps({"policy_id": "X", "policy": "r", **more})])[0]["sha256"] for more in ({}, {"domain": "d"}, {"notes": "n"}, {"severity": {"low": "x"}})}) == 4
 
 
 def test_run_from_requests_to_review(spark, policy_file):
@@ -69,7 +105,7 @@ def test_run_from_requests_to_review(spark, policy_file):
     shown = {r.id: r.judge_user for r in stages.judge_requests(done, stages.policies_of(spark, run)).collect()}
     told = stages.judge(done, spark.createDataFrame(said, "id string, content string, ok boolean, error string"), policies=stages.policies_of(spark, run), model="j").collect()
     assert len(told) == 10 and all(r.judge_model == "j" and r.judge_user_sha256 == hashlib.sha256(shown[r.id].encode()).hexdigest() for r in told)
-    assert [r.judge_error for r in told if r.judge_error] == ["parse: no JSON object found in judge response"]
+    assert [r.judge_error for r in told if r.judge_error] == ["parse: the reply holds no object"]
     with pytest.raises(PolicyError, match=r"\['B'\]"):
         stages.judge_requests(done, select_policies(stages.policies_of(spark, run), ["A"]))
     sheet = stages.worksheet(judged, 4)
@@ -84,10 +120,10 @@ def test_run_from_requests_to_review(spark, policy_file):
 
 def test_calibration_and_production(spark, policy_file):
     with pytest.raises(config.ConfigError, match="calibration_run_id"):
-        config.from_mapping({"stage": "production"})
+        config.from_mapping(NEEDED | {"stage": "production"})
     with pytest.raises(config.ConfigError, match="stage"):
-        config.from_mapping({"stage": "other"})
-    run = config.from_mapping({"policy_file": policy_file, "stage": "calibration", "pilot_per_cell": 2, "model": "m"})
+        config.from_mapping(NEEDED | {"stage": "other"})
+    run = config.from_mapping({"policy_file": policy_file, "domain": "d", "stage": "calibration", "pilot_per_cell": 2, "model": "m"})
     assert [(c.policy_id, c.severity, c["count"]) for c in stages.requests(spark, run).orderBy("call_idx").collect()] == [(p, s, 2) for p in "AB" for s in ("low", "medium", "high")]
 
 
