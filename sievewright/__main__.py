@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .operators import metrics, parsing, rendering, triage
 from .plans import stages
-from .sources import config, files
+from .sources import config, endpoints, files
 
 RECORDS = "id string, prompt string, violated_policy string, severity string, domain string, generation_rationale string"
 CALLS = "call_idx long, policy_id string, severity string, model string, count int, content string, ok boolean, error string, finish_reason string"
@@ -22,7 +22,8 @@ def main(argv: list[str] | None = None) -> None:
     sub = parser.add_subparsers(dest="command", required=True)
     for name, options in {
         "plan": ("config", "output"), "records": ("config", "input", "output"), "ask": ("config", "input", "output"), "judge": ("config", "input", "answers", "output"),
-        "dedup": ("config", "input", "vectors", "output"), "evaluate": ("gold", "predictions"), "sample": ("input", "output"), "score": ("labels", "predictions"),
+        "dedup": ("config", "input", "vectors", "output"), "call": ("config", "input", "output"), "embed": ("config", "input", "output"),
+        "evaluate": ("gold", "predictions"), "sample": ("input", "output"), "score": ("labels", "predictions"),
     }.items():
         command = sub.add_parser(name)
         for option in options:
@@ -30,6 +31,8 @@ def main(argv: list[str] | None = None) -> None:
         if name == "sample":
             command.add_argument("--n", type=int, default=50)
             command.add_argument("--seed", type=int, default=42)
+        if name == "call":
+            command.add_argument("--judge", action="store_true", help="the input is what `ask` wrote, not `plan`")
         if "config" in options:
             command.add_argument("--model", help="in place of the settings' one")
     args = parser.parse_args(argv)
@@ -69,6 +72,18 @@ def main(argv: list[str] | None = None) -> None:
         kept, told, crossing = stages.dedup(rows, vectors, run.semantic_dedup.threshold)
         digests = {name: files.write_records(df, f"{args.output}/{name}") for name, df in (("retained", kept), ("duplicates", told), ("cross_policy", crossing))}
         print(stages.manifest(run, {"output_sha256": digests, "threshold": run.semantic_dedup.threshold, "source_records": rows.count(), "retained": kept.count(), "clusters": told.count(), "cross_policy_candidates": crossing.count(), **stages.counted(kept, "violated_policy")}))
+    elif args.command == "call":
+        if args.judge:
+            asked = files.read_records(spark, args.input, "id string, system string, judge_user string").withColumn("model", F.lit(args.model or run.judge.model or run.model))
+        else:
+            asked = files.read_records(spark, args.input, "call_idx long, policy_id string, severity string, model string, count int, user string", "call_idx").withColumn("system", F.lit(rendering.system_message(run.domain, run.language)))
+        done = endpoints.completed(asked, endpoints.Endpoint.of(run, args.judge), run.judge.concurrency if args.judge else run.concurrency, "judge_user" if args.judge else "user")
+        digest = files.write_records(done.drop("system", "user", "judge_user"), args.output)
+        print(stages.manifest(run, {"digest": digest, **stages.counted(done, "ok", "finish_reason")}))
+    elif args.command == "embed":
+        rows = files.read_records(spark, args.input, RECORDS, required=("id", "prompt"))
+        made = endpoints.embedded(rows, endpoints.sentence_encoder(run.semantic_dedup.model, run.semantic_dedup.batch_size), run.semantic_dedup.batch_size)
+        print(stages.manifest(run, {"digest": files.write_records(made, args.output), "vectors": made.count()}))
     elif args.command == "evaluate":
         gold = files.read_records(spark, args.gold, "id string, policy_id string, gold_verdict string, gold_severity string")
         row = metrics.evaluation(metrics.scored(gold, files.read_records(spark, args.predictions, JUDGED))).first()

@@ -2,11 +2,12 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievewright.__main__ import CALLS, main
 from sievewright.operators import sampling
 from sievewright.plans import stages
-from sievewright.sources import config, files
+from sievewright.sources import config, endpoints, files
 from sievewright.sources.policies import PolicyError, load_policies, parsed_lines, select_policies
 
 POLICIES = [
@@ -184,3 +185,72 @@ def test_stream_counts_an_id_once(spark, tmp_path):
     query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
     query.awaitTermination()
     assert sorted((r.id, r.destination) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", "accepted"), ("b", "accepted")]
+
+
+class Answers:
+    """A local endpoint that fails in a set order."""
+
+    def __init__(self):
+        import http.server
+        import threading
+
+        outer = self
+        self.asked, self.codes = [], {}
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_POST(self):
+                body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+                outer.asked.append((self.path, self.headers["Authorization"], body))
+                code, content = outer.codes.get(body["messages"][1]["content"], [(200, "said")]).pop(0)
+                self.send_response(code)
+                self.end_headers()
+                self.wfile.write(json.dumps({"choices": [{"message": {"content": content}, "finish_reason": "stop"}], "usage": {"completion_tokens": 3}}).encode())
+
+            def log_message(self, *_):
+                pass
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_port}/v1"
+
+
+def test_completions_over_http(monkeypatch):
+    monkeypatch.setenv("TEST_KEY", "k")
+    at = Answers()
+    ask = endpoints.Endpoint(at.url, "TEST_KEY", tries=3, pause=0.0, effort="high")
+    at.codes = {"busy": [(429, ""), (500, ""), (200, " late ")], "bad": [(400, "")], "blank": [(200, " ")] * 3}
+    assert ask("m", "s", "hi") == {"content": "said", "ok": True, "attempts": 1, "error": None, "finish_reason": "stop", "completion_tokens": 3}
+    path, key, body = at.asked[0]
+    assert path == "/v1/chat/completions" and key == "Bearer k" and body["model"] == "m" and body["reasoning_effort"] == "high" and [x["content"] for x in body["messages"]] == ["s", "hi"]
+    got = [(r["ok"], r["attempts"], r["content"], r["error"]) for r in (ask("m", "s", x) for x in ("busy", "bad", "blank"))]
+    assert got == [(True, 3, "late", None), (False, 1, "", "HTTP 400"), (False, 3, "", "the answer is blank")]
+    at.server.shutdown()
+    with pytest.raises(config.ConfigError, match="OTHER_KEY"):
+        endpoints.Endpoint(at.url, "OTHER_KEY")("m", "s", "u")
+
+
+def test_models_of_ones_own(spark, policy_file):
+    run = config.from_mapping({"policy_file": policy_file, "total": 6, "domain": "d", "model": "m", "severity_ratio": {"low": 1}, "judge": {"temperature": 0.5}, "api_key_env": "K"})
+    assert endpoints.Endpoint.of(run, judge=True) == endpoints.Endpoint("", "K", 0.5, 4096, 3, 300.0, "high")
+
+    def complete(model, system, user):
+        good = "Policy A" in user
+        return {"content": json.dumps([f"{model} {k}" for k in range(5)]) if good else "", "ok": good, "attempts": 1, "error": None if good else "down", "finish_reason": None, "completion_tokens": 9 if good else None}
+
+    asked = stages.requests(spark, run).withColumn("system", F.lit("s"))
+    done = endpoints.completed(asked, complete, 2)
+    assert sorted((r.policy_id, r.ok, r.completion_tokens) for r in done.collect()) == [("A", True, 9), ("B", False, None)]
+    made, failed = stages.build_records(done.withColumn("count", F.col("count").cast("int")), run)
+    assert made.count() == 3 and [r.error for r in failed.collect()] == ["down"]
+    vectors = endpoints.embedded(made, lambda: lambda texts: [[len(t), 1] for t in texts], 2)
+    assert {r.id: r.vector for r in vectors.collect()} == {r.id: [3.0, 1.0] for r in made.collect()}
+    with pytest.raises(Exception, match="sentence-transformers"):
+        endpoints.sentence_encoder("m")()
+
+
+def test_a_failed_record_gives_its_place_to_the_next(spark, policy_file):
+    run = config.from_mapping({"policy_file": policy_file, "domain": "d", "model": "m"})
+    calls = [(0, "A", "odd", "m", 2, json.dumps(["a", "b"]), True, None, None), (1, "A", "low", "m", 2, json.dumps(["c", "c", "d", "e"]), True, None, None)]
+    made, failed = stages.build_records(spark.createDataFrame(calls, CALLS), run)
+    assert sorted(r.prompt for r in made.collect()) == ["c", "d"]
+    assert [(r.stage, r.error) for r in failed.collect()] == [("validate", "severity out of range")] * 2
