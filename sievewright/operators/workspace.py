@@ -17,7 +17,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: What a batch for Python may hold, in place of Spark's defaults, which whole texts would make too large for a worker: rows
+#: and bytes (a single longer text is a batch). Settings of the session that differ from the defaults stay.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "512"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16m")}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -35,8 +37,9 @@ def shared_root(spark: SparkSession) -> str:
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors, once for each Spark context, and has texts sent to Python in small batches."""
     context = spark.sparkContext
-    if spark.conf.get(_BATCH) == "10000":  # Spark's default; whole texts in so many rows would fill a worker's memory
-        spark.conf.set(_BATCH, "512")
+    for name, (default, ours) in _BATCHES.items():
+        if spark.conf.get(name, None) == default:
+            spark.conf.set(name, ours)
     if getattr(context, "_sievewright_shipped", False):
         return
     package = Path(__file__).resolve().parent.parent
