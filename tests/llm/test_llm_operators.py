@@ -145,6 +145,24 @@ def test_minhash_dups(spark, texts, tile, monkeypatch):
         assert sorted(r.doc_id for r in minhash_dups.deduplicated(df).collect()) == sorted(k for k in given if want[k] == k)
 
 
+def test_no_link_is_lost_on_a_whole_table(spark):
+    """All pairs of the 1000 documents of sf0.01, of which copies and near copies are planted."""
+    where = DATA.replace("sf0.001", "sf0.01")
+    sets = shingle_sets({r.doc_id: r.text or "" for r in spark.read.parquet(f"{where}/documents.parquet").collect()})
+    keys = [k for k in sorted(sets) if sets[k]]
+    by_size = sorted(keys, key=lambda k: len(sets[k]))
+    links = []
+    for i, a in enumerate(by_size):
+        for b in by_size[i + 1 :]:
+            if 100 * len(sets[a]) < 85 * len(sets[b]):
+                break
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                links.append((a, b))
+    got = {r.doc_id: r.component_id for r in registry.QUERIES["op2_minhash_dups"](spark, where).collect()}
+    assert len(links) > 20 and got == least_reachable(sorted(sets), links)
+
+
 def test_components_of_hubs(spark, monkeypatch):
     from sievewright.operators import graph, skew
 
