@@ -262,9 +262,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     bands = work.save(classes.select("rep", "sketch").mapInArrow(banded, "key long, rep long"), "bands")
     buckets = bands.groupBy("key").agg(F.count("*").alias("many"), F.min("rep").alias("pivot"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep") % 1_000_003).alias("y")).where("many > 1")
-    parts = lambda of, many, size=F.lit(0): F.greatest(F.ceil(many / F.lit(of)), F.ceil(size / F.lit(TEXT_BYTES))).cast("int")
+    parts = lambda of, many, size=F.lit(0): F.greatest(F.ceil(many / of), F.ceil(size / F.lit(TEXT_BYTES))).cast("int")
+    # a group has some 32 tiles before they are as large as they may be
+    tile = lambda of, many: F.least(F.lit(of), F.greatest(F.lit(64), F.ceil(many / 32)))
     buckets = buckets.groupBy("many", "pivot", "x", "y").agg(F.min("key").alias("key"))
-    buckets = work.save(buckets.select("key", "many", "pivot", parts(PIVOTED, F.col("many")).alias("chunks"), parts(TILE, F.col("many")).alias("tiles")), "buckets")
+    buckets = work.save(buckets.select("key", "many", "pivot", parts(F.lit(PIVOTED), F.col("many")).alias("chunks"), parts(tile(TILE, F.col("many")), F.col("many")).alias("tiles")), "buckets")
     members = work.save(joined_to_groups(bands, buckets.select("key", "many"), "key").drop("many").join(classes.select("rep", "n", "sketch"), "rep"), "members")
     work.drop("bands")
 
@@ -290,7 +292,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     families = components(work.save(forest, "forest"), work, "families").withColumnRenamed("component", "family")
     work.drop("members", "tried", "buckets")
     held = work.save(families.join(classes, families["id"] == classes["rep"]).select("family", "rep", "n", "sketch", "digest", "n_bytes"), "families")
-    sizes = [parts(of, F.count("*"), F.sum("n_bytes")).alias(name) for of, name in ((PIVOTED, "chunks"), (TEXT_TILE, "tiles"))]
+    sizes = [parts(of, F.count("*"), F.sum("n_bytes")).alias(name) for of, name in ((F.lit(PIVOTED), "chunks"), (tile(TEXT_TILE, F.count("*")), "tiles"))]
     # the family's least id is one of its members
     facts = work.save(held.groupBy("family").agg(F.count("*").alias("many"), F.col("family").alias("pivot"), *sizes), "facts")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))

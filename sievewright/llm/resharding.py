@@ -1,15 +1,18 @@
 """Minimum-cost-flow resharding, by the law ``bytes``: shards of near equal size, reached by moving the fewest bytes.
 
-Rows lie in old shards (here: a hash of the text, so that equal texts lie together). Each old shard is cut to blocks by
-hash, and blocks above a share of the total to parts by a second hash, so that the driver sees only a bounded number of
-sizes. A minimum-cost flow from old sizes to new capacities, at no cost where old and new number agree and a byte's cost
-elsewhere, says how much each shard sends where; laid end to end, the parts of an old shard are cut at these amounts.
-A part on a cut is dealt row by row, by the row's middle. Equal texts are neighbours, so that only cuts part them.
-`resharded` writes the shards that gain or lose a row, in ranges of their slots, each row as it streams by (so that no
-key has to be unique), and gives the places as the written files have them; `plan` only plans.
+Rows lie in the shards of a store, a folder of Parquet files partitioned by __shard (`store` writes a first one, by a hash of
+the text, so that equal texts lie together). Each old shard is cut to blocks by hash, and blocks above a share of the
+total to parts by a second hash, so that the driver sees only a bounded number of sizes (`BLOCKS_AT_MOST`, and half as many
+parts, of under 100 bytes each). A minimum-cost flow from the sizes of stored shards to new capacities, at no cost where
+old and new number agree and a byte's cost elsewhere, says how much each shard sends where; laid end to end, the parts of
+an old shard are cut at these amounts. A part on a cut is dealt row by row, by the row's middle. Equal texts are
+neighbours, so that only cuts part them. `resharded` writes the shards that gain or lose a row, in ranges of their slots,
+each row as it streams by (so that no key has to be unique), and gives the places as the written files have them; `plan`
+only plans.
 
 Null texts count 16 bytes and the checksum of no bytes; repeated rows are rows of their own; an empty table gives no
-rows. Columns other than doc_id and text are ignored by the plan and kept in what is written.
+rows. Columns other than doc_id and text are ignored by the plan and kept in what is written; one called __shard would be
+taken for the shard that the row lies in.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .workspace import Workspace, documents, partitions
+from .workspace import Workspace, documents, free_shuffles, partitions
 
 OLD_SHARDS, SHARDS = 32, 40
 #: Blocks in all, at least and at most, and the bytes of a block in between.
@@ -91,11 +94,33 @@ def fewest_moves(supply: list[int], capacity: list[int]) -> dict[tuple[int, int]
     return moves
 
 
-def _numbers(old_shards: int) -> list[Column]:
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def by_text(shards: int) -> Column:
+    """A shard by a hash of the text."""
+    return F.pmod(F.xxhash64(_text()), F.lit(shards)).cast("int")
+
+
+def _numbers(lies_in: Column) -> list[Column]:
     """(doc_id, size, text_crc32, h, old_shard) of a row."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    h = F.xxhash64(text)
-    return [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), h.alias("h"), F.pmod(h, F.lit(old_shards)).cast("int").alias("old_shard")]
+    text = _text()
+    return [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), lies_in.cast("int").alias("old_shard")]
+
+
+def store(docs: DataFrame, folder: str, shards: int = OLD_SHARDS) -> DataFrame:
+    """Writes docs to a store by a hash of the text, in ranges of a shard, and returns it as stored."""
+    spark = docs.sparkSession
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(_text())), F.lit(0)).alias("n")).first().n
+    rows = docs.withColumn("__shard", by_text(shards)).repartitionByRange(max(partitions(spark), total // RANGE_BYTES), "__shard", F.xxhash64(_text()), "doc_id")
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("__shard").parquet(folder)
+    return stored(docs.sparkSession, folder, docs.schema)
+
+
+def stored(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """A store's rows, with __shard."""
+    return spark.read.schema(StructType([*schema.fields, StructField("__shard", IntegerType())])).parquet(folder)
 
 
 def _block(each: int) -> Column:
@@ -118,10 +143,10 @@ def _target() -> Column:
     return F.col("targets")[F.size(F.filter("ends", lambda e: e <= F.col("middle")))]
 
 
-def _dealt(docs: DataFrame, old_shards: int, shards: int, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame, int, int]:
+def _dealt(docs: DataFrame, lies_in: Column, old_shards: int, shards: int, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame, int, int]:
     """Rows without their texts with shard and rank in their part; cuts of parts; cut blocks; blocks a shard; bytes."""
     spark = docs.sparkSession
-    rows = work.save(docs.select(*_numbers(old_shards)), "rows")
+    rows = work.save(docs.select(*_numbers(lies_in)), "rows")
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
     blocks = min(max(BLOCKS, total // BLOCK_BYTES), BLOCKS_AT_MOST)
     each = max(1, blocks // old_shards)
@@ -164,9 +189,14 @@ def _placed(dealt: DataFrame) -> DataFrame:
     return dealt.join(F.broadcast(bases), ["shard", *_PART]).select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("base") + F.col("rank")).alias("slot"))
 
 
+def _lies_in(docs: DataFrame, old_shards: int) -> Column:
+    """The shard of a stored row; of others the one that `store` would put them in."""
+    return F.col("__shard") if "__shard" in docs.columns else by_text(old_shards)
+
+
 def plan(docs: DataFrame, old_shards: int = OLD_SHARDS, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, old_shard, shard, slot)."""
-    return _placed(_dealt(docs, old_shards, shards, Workspace(docs.sparkSession, "resharding"))[0])
+    return _placed(_dealt(docs, _lies_in(docs, old_shards), old_shards, shards, Workspace(docs.sparkSession, "resharding"))[0])
 
 
 def _affected(planned: DataFrame) -> DataFrame:
@@ -175,24 +205,31 @@ def _affected(planned: DataFrame) -> DataFrame:
 
 
 def resharded(docs: DataFrame, folder: str | None = None, old_shards: int = OLD_SHARDS, shards: int = SHARDS) -> DataFrame:
-    """Writes the affected shards to the folder, or one of its own, partitioned by __shard; gives what `plan` gives.
+    """Reshards a store, or docs once they are stored: writes the affected shards to the folder, or one of its own; gives
+    what `plan` gives.
 
     The rows of written shards are numbered as read back from there; the others stay where they are.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "resharding")
     folder = folder or f"{work.path}/shards"
-    dealt, cuts, big, each, total = _dealt(docs, old_shards, shards, work)
+    if "__shard" not in docs.columns:
+        docs = store(docs, f"{work.path}/old", old_shards)
+        free_shuffles(spark)
+    plain = [c for c in docs.columns if c != "__shard"]
+    lies_in = F.col("__shard")
+    dealt, cuts, big, each, total = _dealt(docs, lies_in, old_shards, shards, work)
     affected = sorted(r.shard for r in _affected(dealt).collect())
-    rows = _in_parts(docs.select(F.struct("*").alias("row"), *_numbers(old_shards)), each, big).join(F.broadcast(cuts), list(_PART))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in plain]).alias("row"), *_numbers(lies_in))
+    rows = _in_parts(held, each, big).join(F.broadcast(cuts), list(_PART))
     uncut = rows.where(F.size("targets") == 1).withColumn("shard", F.col("targets")[0])
     cut = rows.where(F.size("targets") > 1).withColumn("middle", _middle()).withColumn("shard", _target()).drop("middle")
     going = uncut.unionByName(cut).where(F.col("shard").isin(affected))
     going = going.repartitionByRange(max(partitions(spark), total // RANGE_BYTES), "shard", *_PART, *_ORDER).sortWithinPartitions("shard", *_PART, *_ORDER)
-    going.select("row.*", F.col("shard").alias("__shard")).write.mode("overwrite").option("compression", "zstd").partitionBy("__shard").parquet(folder)
+    going.select("row.*", "old_shard", F.col("shard").alias("__shard")).withColumnRenamed("old_shard", "__old").write.mode("overwrite").option("compression", "zstd").partitionBy("__shard").parquet(folder)
 
-    back = spark.read.schema(StructType([*docs.schema.fields, StructField("__shard", IntegerType())])).parquet(folder)
-    back = _in_parts(back.select(*_numbers(old_shards), F.col("__shard").alias("shard")), each, big)
+    back = spark.read.schema(StructType([*docs.select(*[F.col(f"`{c}`") for c in plain]).schema.fields, StructField("__old", IntegerType()), StructField("__shard", IntegerType())])).parquet(folder)
+    back = _in_parts(back.select(*_numbers(F.col("__old")), F.col("__shard").alias("shard")), each, big)
     back = back.withColumn("rank", F.row_number().over(Window.partitionBy("shard", *_PART).orderBy(*_ORDER))).drop("h")
     return _placed(work.save(back.unionByName(dealt.where(~F.col("shard").isin(affected))), "placed"))
 
@@ -204,7 +241,7 @@ def rewrite(docs: DataFrame, planned: DataFrame, folder: str) -> DataFrame:
     """
     key = ("doc_id", "size", "text_crc32")
     nth = F.row_number().over(Window.partitionBy(*(f"__{c}" for c in key)).orderBy(F.lit(0)))
-    ours = docs.select(F.struct("*").alias("row"), *(c.alias(f"__{n}") for n, c in zip(key, _numbers(1)))).withColumn("__nth", nth)
+    ours = docs.select(F.struct("*").alias("row"), *(c.alias(f"__{n}") for n, c in zip(key, _numbers(F.lit(0))))).withColumn("__nth", nth)
     where = planned.select(*(F.col(c).alias(f"__{c}") for c in (*key, "shard", "slot"))).withColumn("__nth", nth)
     where = where.join(F.broadcast(_affected(planned).withColumnRenamed("shard", "__shard")), "__shard")
     on = [ours[c].eqNullSafe(where[c]) for c in (*(f"__{c}" for c in key), "__nth")]

@@ -4,6 +4,7 @@ import pathlib
 
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sievewright.llm import digests, embedding_dups, minhash_dups, mixing, packing, quality, repeats, resharding, secret_scan, token_output
@@ -106,10 +107,31 @@ def test_shards_are_written_whole(spark, odd, tmp_path):
     want = sorted((r.shard, str(r.doc_id), r.size) for r in planned.collect() if r.shard in gone)
     assert want and sorted((r["__shard"], str(r.doc_id), len((r.text or "").encode()) + 16) for r in written.collect()) == want
     if len(want) == docs.count():
-        assert sorted(map(str, written.drop("__shard").collect())) == sorted(map(str, docs.collect()))
+        assert sorted(map(str, written.drop("__shard", "__old").collect())) == sorted(map(str, docs.collect()))
     assert resharding.rewrite(docs, planned, str(tmp_path / "r")).agg({"n_rows": "sum"}).first()[0] == len(want)
 
 
+def test_a_store_is_resharded_from_its_files(spark, tmp_path):
+    """Twice over: from hashed shards to even ones, and from these, which the second flow finds as stored, to more."""
+    docs = spark.read.parquet(DATA.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    held = resharding.store(docs, str(tmp_path / "a"), 8)
+    first = resharding.resharded(held, str(tmp_path / "b"), 8, 10)
+    sizes = {r.old_shard: r.n for r in first.groupBy("old_shard").agg({"size": "sum"}).toDF("old_shard", "n").collect()}
+    assert sizes == {r["__shard"]: r.n for r in held.groupBy("__shard").agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 16).alias("n")).collect()}
+    assert first.count() == docs.count() and {r.shard for r in first.select("shard").collect()} == set(range(10))
+    again = resharding.stored(spark, str(tmp_path / "b"), docs.schema)
+    assert again.count() == docs.count()
+    second = resharding.resharded(again, str(tmp_path / "c"), 10, 12).toPandas()
+    total, most = second["size"].sum(), second["size"].max()
+    moved = second[second.old_shard != second.shard]["size"].sum()
+    assert (abs(second.groupby("shard")["size"].sum() - total / 12) <= most).all() and moved <= total / 6 + 24 * most
+    # from equal shards to as many no row moves, and nothing is written
+    rows = [(k, "x" * 84) for k in range(400)]
+    even = resharding.store(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "d"), 1)
+    same = resharding.resharded(even, str(tmp_path / "e"), 1, 1)
+    assert same.count() == 400 and spark.read.schema(even.schema).option("pathGlobFilter", "*.parquet").parquet(str(tmp_path / "e")).count() == 0
+
+
 def test_op9_gives_places_as_written(spark):
     rows = resharding.op9_resharding(spark, DATA).collect()
     root = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
