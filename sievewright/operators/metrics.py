@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import LEVELS, f_score, ratio, severity_ordinal
+from .sampling import numbered
+from .skew import joined_to_groups
+from .workspace import Workspace
 
 VERDICTS = ("violation", "non_violation", "ambiguous")
 
@@ -81,8 +84,10 @@ def weighted_estimate(sample: DataFrame, population: DataFrame, stratum: str, hi
 
 def tune_confirm(rows: DataFrame, stratum: list[str], order: Column) -> DataFrame:
     """Adds split: alternately tune and confirm within each stratum, in the given order."""
-    rank = F.row_number().over(Window.partitionBy(*stratum).orderBy(order))
-    return rows.withColumn("split", F.when(rank % 2 == 1, "tune").otherwise("confirm"))
+    made = numbered(rows.withColumn("__of", F.struct(*stratum)), [F.col("__of"), order], Workspace(rows.sparkSession, "tune-confirm"))
+    firsts = made.groupBy("__of").agg(F.min("row").alias("__first"), F.count("*").alias("many"))
+    out = joined_to_groups(made, firsts, "__of").withColumn("split", F.when((F.col("row") - F.col("__first")) % 2 == 0, "tune").otherwise("confirm"))
+    return out.drop("__of", "__first", "many", "row")
 
 
 def yield_gate(cells: DataFrame, overall: float = 0.40, cell: float = 0.25, generation: float = 0.10, judge: float = 0.10, produced: float = 0.90) -> DataFrame:
