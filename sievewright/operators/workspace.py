@@ -12,6 +12,8 @@ import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: What a batch for Python may hold, in place of Spark's defaults, which whole texts would make too large for a worker: rows
 #: and bytes (a single longer text is a batch). Settings of the session that differ from the defaults stay.
 _BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "512"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16m")}
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -74,7 +77,8 @@ class Workspace:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Writes df and returns the written table."""
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        with shuffles_freed(self.spark):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -82,6 +86,17 @@ class Workspace:
             self._remove(f"{self.path}/{name}")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written in this block go as soon as it is written; the session's setting is restored."""
+    before = spark.conf.get(_FREED)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED, before)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Lets shuffle files of finished steps go now; Spark drops them when the driver's JVM collects their garbage."""
     gc.collect()
