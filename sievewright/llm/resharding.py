@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .workspace import Workspace, documents, free_shuffles, partitions
+from .workspace import Workspace, documents, partitions, shuffles_freed
 
 OLD_SHARDS, SHARDS = 32, 40
 #: Blocks in all, at least and at most, and the bytes of a block in between.
@@ -114,7 +114,8 @@ def store(docs: DataFrame, folder: str, shards: int = OLD_SHARDS) -> DataFrame:
     spark = docs.sparkSession
     total = docs.agg(F.coalesce(F.sum(F.octet_length(_text())), F.lit(0)).alias("n")).first().n
     rows = docs.withColumn("__shard", by_text(shards)).repartitionByRange(max(partitions(spark), total // RANGE_BYTES), "__shard", F.xxhash64(_text()), "doc_id")
-    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("__shard").parquet(folder)
+    with shuffles_freed(spark):
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy("__shard").parquet(folder)
     return stored(docs.sparkSession, folder, docs.schema)
 
 
@@ -215,7 +216,6 @@ def resharded(docs: DataFrame, folder: str | None = None, old_shards: int = OLD_
     folder = folder or f"{work.path}/shards"
     if "__shard" not in docs.columns:
         docs = store(docs, f"{work.path}/old", old_shards)
-        free_shuffles(spark)
     plain = [c for c in docs.columns if c != "__shard"]
     lies_in = F.col("__shard")
     dealt, cuts, big, each, total = _dealt(docs, lies_in, old_shards, shards, work)
@@ -226,7 +226,9 @@ def resharded(docs: DataFrame, folder: str | None = None, old_shards: int = OLD_
     cut = rows.where(F.size("targets") > 1).withColumn("middle", _middle()).withColumn("shard", _target()).drop("middle")
     going = uncut.unionByName(cut).where(F.col("shard").isin(affected))
     going = going.repartitionByRange(max(partitions(spark), total // RANGE_BYTES), "shard", *_PART, *_ORDER).sortWithinPartitions("shard", *_PART, *_ORDER)
-    going.select("row.*", "old_shard", F.col("shard").alias("__shard")).withColumnRenamed("old_shard", "__old").write.mode("overwrite").option("compression", "zstd").partitionBy("__shard").parquet(folder)
+    going = going.select("row.*", F.col("old_shard").alias("__old"), F.col("shard").alias("__shard"))
+    with shuffles_freed(spark):
+        going.write.mode("overwrite").option("compression", "zstd").partitionBy("__shard").parquet(folder)
 
     back = spark.read.schema(StructType([*docs.select(*[F.col(f"`{c}`") for c in plain]).schema.fields, StructField("__old", IntegerType()), StructField("__shard", IntegerType())])).parquet(folder)
     back = _in_parts(back.select(*_numbers(F.col("__old")), F.col("__shard").alias("shard")), each, big)

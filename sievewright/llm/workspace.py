@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.workspace import Workspace, free_shuffles, partitions, ship
+from ..operators.workspace import Workspace, partitions, ship, shuffles_freed
 
-__all__ = ["Workspace", "documents", "free_shuffles", "partitions", "ship"]
+__all__ = ["Workspace", "documents", "partitions", "ship", "shuffles_freed"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
