@@ -8,7 +8,6 @@ fall back to a temporary folder.
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 import zipfile
@@ -97,12 +96,6 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_FREED, before)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Lets shuffle files of finished steps go now; Spark drops them when the driver's JVM collects their garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def partitions(spark: SparkSession, least: int = 1) -> int:
     """Shuffle partitions as the session sets them."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
