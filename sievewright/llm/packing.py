@@ -1,9 +1,10 @@
 """Best-fit packing with certified counts.
 
-Pieces are dealt to partitions by hash and packed by best-fit decreasing. Dual-feasible functions give a lower bound for
-each partition's number of bins; where it is met, the packing is certified and stays. Partitions with a gap set the
-pieces of their emptiest bins free; those of MERGED partitions meet in one and are packed again, kept if that takes
-fewer bins, and so on until no gap or one partition is left.
+Pieces are dealt to partitions by a hash of their place in a written table, so that equal ones part, and packed by
+best-fit decreasing. Dual-feasible functions give a lower bound for each partition's number of bins; where it is met, the
+packing is certified and stays. Partitions with a gap set the pieces of their emptiest bins free; those of MERGED
+partitions meet in one and are packed again, kept if that takes fewer bins, and so on until no gap or one partition is
+left.
 
 A document is its ids and END_ID; longer ones than CAPACITY are cut so that all pieces but the first are full. Null counts
 as empty (one piece: the end id); repeated rows are documents of their own; an empty table gives no rows. Other columns
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.batches import groups
@@ -120,14 +121,18 @@ def _repack(table: pa.Table, capacity: int, level: int, last: bool) -> pa.Table:
     return table
 
 
-def pack(pieces: DataFrame, work: Workspace, capacity: int = CAPACITY) -> DataFrame:
-    """pieces, which have a column length of 1 to capacity, with sequence_id and offset."""
+def pack(pieces: DataFrame, work: Workspace, capacity: int = CAPACITY, spread: Column | None = None) -> DataFrame:
+    """pieces, which have a column length of 1 to capacity, with sequence_id and offset.
+
+    They are dealt by the hash spread, or by that of all their columns; then equal rows would all meet.
+    """
     from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
     names = pieces.columns
     parts = max(1, -(-pieces.count() // PARTITION))
     every = [F.col(f"`{c}`") for c in names if c != "ids"]
-    rows = pieces.select(F.pmod(F.xxhash64(*every), F.lit(parts)).cast("long").alias("part"), *[F.col(f"`{c}`") for c in names], F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(False).alias("free"))
+    spread = F.xxhash64(*every) if spread is None else spread
+    rows = pieces.select(F.pmod(spread, F.lit(parts)).cast("long").alias("part"), *[F.col(f"`{c}`") for c in names], F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(False).alias("free"))
     schema = StructType([StructField("part", LongType()), *pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType()), StructField("free", BooleanType())])
     level, settled = 0, []
     while True:
@@ -153,7 +158,8 @@ def packed(docs: DataFrame, vocabulary: str = BYTE_BPE, capacity: int = CAPACITY
     """Pieces of all documents with their places, and their ids if asked for."""
     work = Workspace(docs.sparkSession, "packing")
     pieces = work.save(document_pieces(docs, vocabulary, capacity, end_id, with_ids), "pieces")
-    return pack(pieces, work, capacity)
+    # a written row's place parts equal rows too, and is the same whenever a task runs again
+    return pack(pieces, work, capacity, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

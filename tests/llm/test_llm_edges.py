@@ -45,6 +45,14 @@ def test_packing(odd):
     assert (rows.piece == 0).sum() == len(ROWS) and packing.packed(odd.limit(0)).count() == 0
 
 
+def test_equal_rows_are_packed_apart(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PARTITION", 400)
+    rows = packing.packed(spark.range(4000).selectExpr("7L AS doc_id", "'some words of a row that all have' AS text")).toPandas()
+    assert len(rows) == 4000 and rows.groupby("sequence_id")["length"].sum().max() <= 1024
+    # each of the ten partitions is certified by itself, so that it may take a bin more than its share
+    assert ((rows.sequence_id // 2**32) % 2**24).nunique() == 10 and rows.sequence_id.nunique() <= packing.lower_bound(rows["length"].to_numpy(), 1024) + 10
+
+
 def test_quality(spark, odd):
     for labels in ([], [(k, k % 2) for k in range(8)], [(1, 1)]):
         given = spark.createDataFrame(labels, "doc_id long, quality int")
