@@ -449,7 +449,8 @@ def repeated_stretches(docs: DataFrame, work: Workspace, group: int = GROUP) ->
     keyed = _keyed(docs)
     found = work.save(anchors(keyed.where(F.octet_length("text") >= LENGTH)), "anchors")
     often = work.save(found.groupBy("piece").agg(F.count("*").alias("many")).where("many > 1"), "often")
-    of = lambda yes: F.collect_list(F.when(yes, F.col("place")))
+    # rows that repeat an id and a text have the same places, which are kept once
+    of = lambda yes: F.collect_set(F.when(yes, F.col("place")))
     kept = joined_to_groups(found, often, "piece").groupBy("doc", "h").agg(of(F.col("many") <= group).alias("places"), of(F.col("many") > group).alias("alone"))
     kept = work.save(kept, "kept")
     work.drop("anchors", "often")
@@ -458,7 +459,7 @@ def repeated_stretches(docs: DataFrame, work: Workspace, group: int = GROUP) ->
     runs = work.save(suffix_runs(keyed.join(kept, ["doc", "h"]).select("doc", "h", "text", "places", "alone"), ends, ends_alone), "runs")
     work.drop("kept")
     told = runs.where("start IS NOT NULL").select("doc", "h", "start", "end")
-    spans = merged(runs, ends, ends_alone).unionByName(told).groupBy("doc", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = merged(runs, ends, ends_alone).unionByName(told).groupBy("doc", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     spans = work.save(spans, "spans")
     work.drop("runs")
     return spans

@@ -217,26 +217,32 @@ def count_ids(tokens: DataFrame) -> np.ndarray:
 
 
 def write_files(tokens: DataFrame, lengths: np.ndarray, folder: str) -> DataFrame:
-    """Writes the files and returns (file, bucket, first, n_docs, n_ids); a repeated task writes the same file again."""
+    """Writes the files and returns (file, bucket, first, last, n_docs, n_ids); a repeated task writes the same files again.
+
+    first and last are the doc_ids of a file's ends. The name tells equal files apart by task and number, which stay as
+    they are when a task runs again.
+    """
     codes, long = canonical_codes(lengths), lengths
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
+        from pyspark import TaskContext
 
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        for bucket, keys, held in _slices(batches):
+        task = TaskContext.get().partitionId()
+        for nth, (bucket, keys, held) in enumerate(_slices(batches)):
             ids = np.concatenate(held)
-            first = -(1 << 63) if keys[0] is None else keys[0]
+            first, last = (-(1 << 63) if x is None else x for x in (keys[0], keys[-1]))
             data = pack_file(keys, np.array([len(x) for x in held]), ids, long, codes, [bucket, first, zlib.crc32(ids.tobytes()), len(ids)])
-            name = f"{bucket:08d}-{first + (1 << 63):020d}-{zlib.crc32(data):08x}.swt"
+            name = f"{bucket:08d}-{first + (1 << 63):020d}-{task:06d}-{nth:06d}-{zlib.crc32(data):08x}.swt"
             held_back = f"{root}/.{name}.{uuid.uuid4().hex}.part"  # attempts of one task don't share a stream
             with store.open_output_stream(held_back) as out:
                 out.write(data)
             store.move(held_back, f"{root}/{name}")
-            yield pa.RecordBatch.from_pylist([{"file": name, "bucket": bucket, "first": first, "n_docs": len(keys), "n_ids": len(ids)}], pa.schema([("file", pa.string()), ("bucket", pa.int32()), ("first", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+            yield pa.RecordBatch.from_pylist([{"file": name, "bucket": bucket, "first": first, "last": last, "n_docs": len(keys), "n_ids": len(ids)}], pa.schema([("file", pa.string()), ("bucket", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    return tokens.mapInArrow(files, "file string, bucket int, first long, n_docs long, n_ids long")
+    return tokens.mapInArrow(files, "file string, bucket int, first long, last long, n_docs long, n_ids long")
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -278,7 +284,7 @@ def token_output(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int = END_
     bases = spark.createDataFrame(base, "bucket int, base long")
     from pyspark.sql import Window
 
-    within = Window.partitionBy("bucket").orderBy("first", "file").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("bucket").orderBy("first", "last", "file").rowsBetween(Window.unboundedPreceding, -1)
     starts = index.join(F.broadcast(bases), "bucket").select("file", (F.col("base") + F.coalesce(F.sum("n_ids").over(within), F.lit(0))).alias("base"))
     if not base:
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long, file string")

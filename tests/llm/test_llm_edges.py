@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and further columns, for every operator and stage."""
 
 import pathlib
+import random
 
 import pytest
 from conftest import DATA
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sievewright.llm import digests, embedding_dups, minhash_dups, mixing, packing, quality, repeats, resharding, secret_scan, token_output
+from sievewright.operators.workspace import Workspace
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, bucket int, part long, component_id long, quality int, h long, n long, copies int"
 MORE = (1, 0.5, 2, 3, 4, 5, 6, 7, 8)
@@ -81,6 +83,31 @@ def test_a_long_row_of_copies(spark):
     assert resharding.plan(many, 32, 40).groupBy("shard").count().agg({"count": "max"}).first()[0] <= 80
 
 
+def test_repeated_rows_hold_their_places_once(spark):
+    rng = random.Random(5)
+    text = " ".join(str(rng.random()) for _ in range(200))
+    told = {}
+    for many in (2, 40):
+        df = spark.range(many).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+        (row,) = repeats.repeated_stretches(df, Workspace(spark, "test-repeats")).collect()
+        told[many] = sorted(map(tuple, row.spans))
+        got = {(r.n_bytes, r.n_removed, r.n_spans) for r in repeats.repeats_removed(df).collect()}
+        assert got == {(len(text), len(text), 1)}
+    assert told[2] == told[40] and len(set(told[2])) == len(told[2])
+
+
+def test_files_of_equal_rows_stay_apart(spark, tmp_path):
+    # the texts of id 5 fill more than two files, and the last of these also holds id 6
+    words = token_output.FILE_IDS // 8
+    rows = spark.range(20).selectExpr("5L AS doc_id", f"repeat('a ', {words}) AS text").unionByName(spark.createDataFrame([(6, "b")], "doc_id long, text string")).coalesce(1)
+    out = token_output.token_output(rows, folder=tmp_path.as_uri()).orderBy("start").collect()
+    assert [r.doc_id for r in out] == [5] * 20 + [6]
+    assert [r.start for r in out] == [k * (words + 1) for k in range(21)]
+    assert len({r.file for r in out}) == len(list(tmp_path.glob("*.swt"))) > 2
+    back = [token_output.unpack_file(p.read_bytes()) for p in tmp_path.glob("*.swt")]
+    assert sum(len(ids) for *_, ids in back) == 20 * (words + 1) + 2
+
+
 def test_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, n_links int")
     assert embedding_dups.near_duplicates(empty).count() == 0
