@@ -70,15 +70,15 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-def document_pieces(docs: DataFrame, vocabulary: str = BYTE_BPE, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) and, if asked for, ids (array of int)."""
+def document_pieces(docs: DataFrame, vocabulary: str = BYTE_BPE, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, kept: int | None = None) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32) and, if asked for, ids (array of int); a worker keeps the ids of kept words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some, out, held = batch.slice(at, 256), [], []
-                for key, raw in zip(some.column(0).to_pylist(), encoder(vocabulary).encode(some.column(1).to_pylist())):
+                for key, raw in zip(some.column(0).to_pylist(), encoder(vocabulary, kept=kept).encode(some.column(1).to_pylist())):
                     ids = np.frombuffer(raw + end, "<u2").astype("<u4")
                     first = (len(ids) - 1) % capacity + 1
                     wide = ids.tobytes()
@@ -154,10 +154,10 @@ def pack(pieces: DataFrame, work: Workspace, capacity: int = CAPACITY, spread: C
     return out.drop("part", "free")
 
 
-def packed(docs: DataFrame, vocabulary: str = BYTE_BPE, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """Pieces of all documents with their places, and their ids if asked for."""
+def packed(docs: DataFrame, vocabulary: str = BYTE_BPE, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, kept: int | None = None) -> DataFrame:
+    """Pieces of all documents with their places, and their ids if asked for. kept bounds what a worker keeps of words."""
     work = Workspace(docs.sparkSession, "packing")
-    pieces = work.save(document_pieces(docs, vocabulary, capacity, end_id, with_ids), "pieces")
+    pieces = work.save(document_pieces(docs, vocabulary, capacity, end_id, with_ids, kept), "pieces")
     # a written row's place parts equal rows too, and is the same whenever a task runs again
     return pack(pieces, work, capacity, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
 

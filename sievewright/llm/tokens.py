@@ -18,7 +18,7 @@ import numpy as np
 from .caches import claim
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: Pieces kept in a worker, under 200 bytes each: of words, and of bytes, whose operator follows others in the pipeline.
+#: Pieces kept in a worker, under 200 bytes each: of words, and of bytes.
 #: When it is full the half that came last goes: common pieces come early.
 KEPT_WORDS, KEPT_BYTES = 1_200_000, 800_000
 _TWO_SPACES = re.compile(r"\s\s")
@@ -30,11 +30,11 @@ def vocabulary_path(name: str) -> str:
     return name if "/" in name else importlib.import_module("public_tokenizers").path(name)
 
 
-def encoder(name: str, specials_as_text: bool = False) -> "Encoder":
-    """One encoder for each vocabulary and worker process."""
+def encoder(name: str, specials_as_text: bool = False, kept: int | None = None) -> "Encoder":
+    """One encoder for each vocabulary, bound of kept pieces and worker process."""
     claim("tokens", _encoders.clear)
-    if (key := f"{name}:{specials_as_text}") not in _encoders:
-        _encoders[key] = Encoder(name, specials_as_text)
+    if (key := f"{name}:{specials_as_text}:{kept}") not in _encoders:
+        _encoders[key] = Encoder(name, specials_as_text, kept)
     return _encoders[key]
 
 
@@ -42,10 +42,11 @@ class Encoder:
     """Ids of texts as little-endian unsigned 16-bit bytes.
 
     They are those of the library as it is loaded: the string of an added token becomes its id. With specials_as_text
-    such strings are ordinary text.
+    such strings are ordinary text. At most kept pieces are held (None: as many as is usual for the vocabulary), which
+    changes how long it takes, never the ids.
     """
 
-    def __init__(self, name: str, specials_as_text: bool = False):
+    def __init__(self, name: str, specials_as_text: bool = False, kept: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -58,6 +59,7 @@ class Encoder:
         self.mark = " \x01 " if self.by_word else "\n"
         self.mark_ids = self._library([self.mark])[0]
         self.kept: dict[bytes, bytes] = {b"": b""}
+        self.most = kept or (KEPT_WORDS if self.by_word else KEPT_BYTES)
         # in lower case, as pieces of the word vocabulary are: none may become an added token by that
         self.added = tuple({t.content.encode().lower() for t in self.library.get_added_tokens_decoder().values() if t.content.strip()})
 
@@ -127,6 +129,6 @@ class Encoder:
             for at in gaps:
                 got[at] = self.kept[words[at]]
             out.append(b"".join(got))
-        if len(self.kept) > (most := KEPT_WORDS if self.by_word else KEPT_BYTES):
-            self.kept = dict(islice(self.kept.items(), most // 2))
+        if len(self.kept) > self.most:
+            self.kept = dict(islice(self.kept.items(), self.most // 2))
         return out

@@ -53,6 +53,16 @@ def test_pieces_have_the_librarys_ids(name):
     assert tokens.Encoder(name, specials_as_text=True).encode(odd) == [np.array(x.ids, "<u2").tobytes() for x in text.encode_batch(odd, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name", [tokens.WORD_BPE, tokens.BYTE_BPE])
+def test_ids_are_the_same_however_few_pieces_are_kept(texts, name):
+    few, some = tokens.Encoder(name, kept=50), list(texts.values())
+    usual = tokens.Encoder(name)
+    for at in range(0, len(some), 20):
+        assert few.encode(some[at : at + 20]) == usual.encode(some[at : at + 20])
+        assert len(few.kept) <= 50
+    assert len(usual.kept) > 50
+
+
 def test_huffman_lengths_are_optimal_and_limited():
     rng = np.random.default_rng(1)
     for counts in (rng.integers(0, 50, 300), 2 ** np.arange(20), np.array([0, 5]), np.array([0, 0])):
