@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from sievewright.llm import minhash_dups, mixing, packing, quality, secret_scan
 from sievewright.llm.workspace import Workspace, documents
 
+#: Pieces of text whose ids a worker keeps in the last stage, fewer than in the query: the workers of earlier stages still
+#: hold memory. It costs time and changes no id.
+KEPT_PIECES = 300_000
+
 #: The classifier and the shingle sets have no SQL form.
 ORACLE_SQL = None
 
@@ -39,7 +43,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their sequence and place in it."""
-    return packing.packed(docs.withColumn("doc_id", F.col("doc_id").cast("long")))
+    return packing.packed(docs.withColumn("doc_id", F.col("doc_id").cast("long")), kept=KEPT_PIECES)
 
 
 STAGES = [
