@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ALIASES, blank, hash_order, severity_level
+from ..functions.scalars import ALIASES, blank, hash_order, severity_level, stripped
 from ..operators import metrics, parsing, planning, records, rendering, sampling, similarity, triage
 from ..operators.workspace import Workspace
 from . import views
@@ -219,8 +219,10 @@ def parse_strategy_histogram(spark, sf):
 @_query(rf"""SELECT doc_id, 1 AS n_prompts, md5({views.stripped_sql("CASE WHEN doc_id % 5 = 4 THEN 'p' || regexp_replace(text, '[\r\n]', ' ', 'g') ELSE text END")}) AS digest FROM documents WHERE text IS NOT NULL""")
 def parse_cascade(spark, sf):
     """Prompts that the parser recovers from untidy replies."""
-    p = views.replies(spark, sf).select("doc_id", parsing.parse_reply("raw").alias("p"))
-    return p.select("doc_id", F.size("p.prompts").alias("n_prompts"), F.md5(F.col("p.prompts")[0]["prompt"]).alias("digest"))
+    p = views.replies(spark, sf, rest="json").select("doc_id", "shape", parsing.parse_reply("raw").alias("p"))
+    prompt = F.get("p.prompts", F.lit(0))["prompt"]
+    text = F.when(F.col("shape") == "freeform", prompt).otherwise(stripped(F.substring(prompt, 2, 2**31 - 1)))  # without the p of replies
+    return p.select("doc_id", F.size("p.prompts").alias("n_prompts"), F.md5(text).alias("digest"))
 
 
 @_query("""SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN NULL WHEN doc_id % 4 = 0 THEN 'violation' WHEN doc_id % 4 = 1 THEN 'non_violation' ELSE 'ambiguous' END AS verdict,

@@ -56,3 +56,22 @@ def test_labelled_replies_hold_whole_texts(spark):
     want = [("p" + r.text.replace("\r", " ").replace("\n", " ")).strip() for r in d]
     assert max(map(len, want)) > 10_000 and all(r.p.strategy == "freeform" for r in d)
     assert [[(e.prompt, e.generation_rationale) for e in r.p.prompts] for r in d] == [[(w, "why")] for w in want]
+
+
+def odd_documents(tmp_path, texts):
+    """A folder of documents in which every text comes with each number modulo 5, and with one below 0."""
+    import duckdb
+
+    rows = [(10 * k + s, t, "en", len(t or "")) for k, t in enumerate(texts) for s in (0, 1, 2, 3, 4, -1000)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d (doc_id BIGINT, text VARCHAR, lang VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO d VALUES (?, ?, ?, ?)", rows)
+    con.execute(f"COPY d TO '{tmp_path}/documents.parquet'")
+    con.execute("ALTER TABLE d RENAME TO documents")
+    return con
+
+
+@pytest.mark.parametrize("name", ["parse_cascade"])
+def test_replies_of_odd_texts_are_parsed(spark, tmp_path, name):
+    con = odd_documents(tmp_path, ["", " \t", "　x\n y\x85", "```\nx\n``` y", ' "q" \\ {x} [1] }', "a [/THINK] b", None])
+    assert plain(registry.QUERIES[name](spark, str(tmp_path)).toPandas()) == plain(con.execute(registry.SQL[name]).df())
