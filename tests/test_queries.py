@@ -71,7 +71,13 @@ def odd_documents(tmp_path, texts):
     return con
 
 
-@pytest.mark.parametrize("name", ["parse_cascade"])
+@pytest.mark.parametrize("name", ["parse_cascade", "parse_strategy_histogram"])
 def test_replies_of_odd_texts_are_parsed(spark, tmp_path, name):
     con = odd_documents(tmp_path, ["", " \t", "　x\n y\x85", "```\nx\n``` y", ' "q" \\ {x} [1] }', "a [/THINK] b", None])
     assert plain(registry.QUERIES[name](spark, str(tmp_path)).toPandas()) == plain(con.execute(registry.SQL[name]).df())
+
+
+def test_marks_within_json_replies_stay(spark, tmp_path):
+    odd_documents(tmp_path, ["a [THINK]b[/THINK] c", '```["x"]``` {"prompt": "y"}'])
+    for r in views.replies(spark, str(tmp_path)).where("shape != 'freeform'").select("text", "shape", parsing.parse_reply("raw").alias("p")).collect():
+        assert r.p.strategy == r.shape and [e.prompt for e in r.p.prompts] == ["p" + r.text]
