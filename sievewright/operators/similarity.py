@@ -31,31 +31,63 @@ def check_vectors(vectors: DataFrame, key: str = "id") -> None:
         raise VectorError(f"{seen.bad} unusable vectors, lengths {seen.least} to {seen.most}, {seen.n - seen.ids} repeated ids")
 
 
-def _products(table: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, row, cosine) of similar rows of two tiles, or of one (each pair once, the lesser id first)."""
-    ids = table.column("id").to_numpy()
-    x = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-    x = x / np.linalg.norm(x, axis=1)[:, None]
-    first = table.column("tile").to_numpy() == table.column("i").to_numpy()
-    alone = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-    left, right = (np.arange(len(ids)),) * 2 if alone else (np.flatnonzero(first), np.flatnonzero(~first))
+Tile = tuple[np.ndarray, np.ndarray, list]
+_PACKED = "unit long, tile int, ids binary, policies array<string>, vectors binary"
+
+
+def _products(x: Tile, y: Tile | None, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of x, row of y, cosine) of similar rows of two tiles, or of one (each pair once, the lesser id first)."""
+    (ids, left, _), (others, right, _) = x, y or x
     for at in range(0, len(left), 256):
-        some = left[at : at + 256]
-        product = x[some] @ x[right].T
-        p, q = np.nonzero(product >= threshold)
-        a, b, s = some[p], right[q], product[p, q]
-        if alone:
-            keep = ids[a] < ids[b]
+        product = left[at : at + 256] @ right.T
+        a, b = np.nonzero(product >= threshold)
+        s = product[a, b]
+        a += at
+        if y is None:
+            keep = ids[a] < others[b]
             a, b, s = a[keep], b[keep], s[keep]
-        turn = ids[a] > ids[b]
-        yield np.where(turn, b, a), np.where(turn, a, b), s
+        yield a, b, s
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each tile of a stream sorted by (unit, tile), with its unit vectors end to end."""
+    for table in groups(batches, 2):
+        ids = table.column("id").to_numpy()
+        x = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        x = x / np.linalg.norm(x, axis=1)[:, None]
+        place = [pa.array([table.column(c)[0].as_py()], t) for c, t in (("unit", pa.int64()), ("tile", pa.int32()))]
+        held = [pa.array([ids.astype(np.int64).tobytes()], pa.binary()), pa.array([table.column("policy").to_pylist()], pa.list_(pa.string())), pa.array([x.tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*place, *held], ["unit", "tile", "ids", "policies", "vectors"])
+
+
+def _tile_pairs(vectors: DataFrame, work: Workspace, meet: bool) -> DataFrame:
+    """A row for each tile of (id, policy, vector, unit, tiles) and, if they meet, for each two tiles of a unit.
+
+    Tiles are written once, a row each, and partitions of them are read against each other where they lie: a cartesian
+    product shuffles nothing, so that no more than the rows themselves is shuffled or written, however many tiles there are.
+    """
+    dealt = vectors.select("unit", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int").alias("tile"), "id", "policy", "vector")
+    tiles = work.save(dealt.repartition("unit", "tile").sortWithinPartitions("unit", "tile").mapInArrow(_packed, _PACKED), "tiles")
+    held = ("ids", "policies", "vectors")
+    lone = tiles.select(*held, *[F.lit(None).cast(tiles.schema[c].dataType).alias(f"{c}2") for c in held])
+    if not meet:
+        return lone
+    others = tiles.select(F.col("unit").alias("unit2"), F.col("tile").alias("tile2"), *[F.col(c).alias(f"{c}2") for c in held])
+    both = tiles.join(others.hint("shuffle_replicate_nl"), (F.col("unit") == F.col("unit2")) & (F.col("tile") < F.col("tile2")))
+    return lone.unionByName(both.select(*lone.columns))
 
 
-def _tiled(vectors: DataFrame, tiles: Column, *keys: str) -> DataFrame:
-    """A row of (keys, i, j, tile, id, policy, vector) for each pair of tiles that a vector is in."""
-    dealt = vectors.withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    units = dealt.select(*keys, F.least("tile", "other").cast("int").alias("i"), F.greatest("tile", "other").cast("int").alias("j"), "tile", "id", "policy", "vector")
-    return units.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
+def _read_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tile, Tile | None]]:
+    """The tiles of each row of `_tile_pairs`; the second is none where a tile is alone."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            ids, policies, vectors, *second = (c[k] for c in batch.columns)
+            yield _tile(ids, policies, vectors), _tile(second[0], second[1], second[2]) if second[0].is_valid else None
+
+
+def _tile(ids: pa.Scalar, policies: pa.Scalar, vectors: pa.Scalar) -> Tile:
+    ids = np.frombuffer(ids.as_buffer(), np.int64)
+    return ids, np.frombuffer(vectors.as_buffer(), np.float64).reshape(len(ids), -1), policies.as_py()
 
 
 def _plain(vectors: DataFrame) -> DataFrame:
@@ -65,21 +97,26 @@ def _plain(vectors: DataFrame) -> DataFrame:
 def similar_pairs(vectors: DataFrame, threshold: float, tile: int = TILE, across: bool = False) -> DataFrame:
     """(a, b, policy_a, policy_b, similarity), a below b, of all vectors with a cosine of threshold or more.
 
-    Rows of (id long, policy string, vector) are dealt to tiles of about tile rows; a task multiplies two tiles. So the
-    exact join costs products of whole matrices, and a task holds two tiles however many rows there are. With across,
-    only pairs of different policies leave a task.
+    Rows of (id long, policy string, vector) are dealt to tiles of about tile rows; a task multiplies two tiles at a time.
+    So the exact join costs products of whole matrices, and a worker holds two tiles however many rows there are. With
+    across, only pairs of different policies leave a task.
     """
-    tiles = F.lit(max(1, -(-vectors.count() // tile)))
+    tiles = max(1, -(-vectors.count() // tile))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, 2):
-            ids, policy = table.column("id").to_numpy(), np.array(table.column("policy").to_pylist(), object)
-            for a, b, s in _products(table, threshold):
+        for x, y in _read_pairs(batches):
+            left, right = x[0], (y or x)[0]
+            policy, policy2 = np.array(x[2], object), np.array((y or x)[2], object)
+            for a, b, s in _products(x, y, threshold):
                 if across:
-                    a, b, s = (v[policy[a] != policy[b]] for v in (a, b, s))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(policy[a], pa.string()), pa.array(policy[b], pa.string()), pa.array(s)], ["a", "b", "policy_a", "policy_b", "similarity"])
+                    a, b, s = (v[policy[a] != policy2[b]] for v in (a, b, s))
+                turn = left[a] > right[b]
+                ends = [(np.where(turn, right[b], left[a])), np.where(turn, left[a], right[b])]
+                named = [np.where(turn, policy2[b], policy[a]), np.where(turn, policy[a], policy2[b])]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, ends), *(pa.array(v, pa.string()) for v in named), pa.array(s)], ["a", "b", "policy_a", "policy_b", "similarity"])
 
-    return _tiled(_plain(vectors), tiles).mapInArrow(rows, "a long, b long, policy_a string, policy_b string, similarity double")
+    dealt = _plain(vectors).withColumns({"unit": F.lit(0).cast("long"), "tiles": F.lit(tiles)})
+    return _tile_pairs(dealt, Workspace(vectors.sparkSession, "pairs"), tiles > 1).mapInArrow(rows, "a long, b long, policy_a string, policy_b string, similarity double")
 
 
 def cross_policy(pairs: DataFrame) -> DataFrame:
@@ -92,27 +129,50 @@ def clusters(pairs: DataFrame, work: Workspace) -> DataFrame:
     return components(pairs.where("policy_a = policy_b").select("a", "b"), work).withColumnRenamed("component", "cluster")
 
 
+#: Links that a task of `policy_clusters` holds before it cuts them to a forest.
+LINKS = 1 << 20
+
+
+def _forest(links: list[np.ndarray]) -> np.ndarray:
+    """Links (2, n) between ids, cut to as many as span what they join."""
+    ends = np.concatenate([np.empty((2, 0), np.int64), *links], 1)
+    ids, place = np.unique(ends, return_inverse=True)
+    root = local_roots(len(ids), *place.reshape(2, -1))
+    some = np.flatnonzero(root != np.arange(len(ids)))
+    return np.stack([ids[some], ids[root[some]]])
+
+
 def policy_clusters(vectors: DataFrame, threshold: float, work: Workspace, tile: int = TILE) -> DataFrame:
     """`clusters` from the vectors: tiles are of one policy, and a task sends the links that span what it found, not its pairs."""
     plain = _plain(vectors).where("policy IS NOT NULL")
     # the least id of a policy stands for it
     sizes = work.save(plain.groupBy("policy").agg(F.count("*").alias("many"), F.min("id").alias("unit")), "policies")
-    units = _tiled(joined_to_groups(plain, sizes, "policy").withColumn("tiles", F.ceil(F.col("many") / F.lit(tile)).cast("int")), F.col("tiles"), "unit")
+    most = sizes.agg(F.coalesce(F.max("many"), F.lit(0))).first()[0]
+    dealt = joined_to_groups(plain, sizes, "policy").withColumn("tiles", F.ceil(F.col("many") / F.lit(tile)).cast("int"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, 3):
-            ids = table.column("id").to_numpy()
+        held, n = [], 0
+        told = lambda links: pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], ["a", "b"])
+        for x, y in _read_pairs(batches):
+            left, right = x[0], (y or x)[0]
+            off = 0 if y is None else len(left)
+            ids = left if y is None else np.concatenate([left, right])
             found = [np.empty((2, 0), np.int64)]
-            for a, b, _ in _products(table, threshold):
-                root = local_roots(len(ids), a, b)
+            for a, b, _ in _products(x, y, threshold):
+                root = local_roots(len(ids), a, b + off)
                 some = np.flatnonzero(root != np.arange(len(ids)))
                 found.append(np.stack([some, root[some]]))
-            a, b = np.concatenate(found, 1)
-            root = local_roots(len(ids), a, b)
-            some = np.flatnonzero(root != np.arange(len(ids)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(ids[root[some]])], ["a", "b"])
-
-    return components(units.mapInArrow(rows, "a long, b long"), work).withColumnRenamed("component", "cluster")
+            held.append(ids[np.concatenate(found, 1)])
+            n += held[-1].shape[1]
+            if n >= LINKS:
+                held = [_forest(held)]
+                n = held[0].shape[1]
+                if n >= LINKS // 2:
+                    yield told(held[0])
+                    held, n = [], 0
+        yield told(_forest(held))
+
+    return components(_tile_pairs(dealt, work, most > tile).mapInArrow(rows, "a long, b long"), work).withColumnRenamed("component", "cluster")
 
 
 def _rank() -> Column:

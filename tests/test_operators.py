@@ -170,3 +170,31 @@ def test_sample_is_fair(spark):
     rows = spark.range(200).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") < 150, "p").otherwise("q").alias("violated_policy"), F.lit("v").alias("stratum"))
     got = [r.violated_policy for r in sampling.stratified(rows, 20).collect()]
     assert got.count("p") == got.count("q") == 10
+
+
+def test_tiles_meet_without_a_shuffle(spark):
+    rows = [(k, f"p{k % 2}", [1.0, k / 40]) for k in range(40)]
+    v = spark.createDataFrame(rows, "id long, policy string, vector array<double>")
+    for across in (False,):
+        pairs = similarity.similar_pairs(v, 0.999, tile=4, across=across)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Exchange" not in plan and "Generate" not in plan
+        cosine = lambda x, y: (1 + x * y / 1600) / math.sqrt((1 + x * x / 1600) * (1 + y * y / 1600))
+        want = {(a, b) for a in range(40) for b in range(a + 1, 40) if cosine(a, b) >= 0.999 and not (across and (b - a) % 2 == 0)}
+        got = pairs.collect()
+        assert {(r.a, r.b) for r in got} == want and len(got) == len(want)
+        assert all((r.policy_a, r.policy_b) == (f"p{r.a % 2}", f"p{r.b % 2}") for r in got)
+
+
+def test_packed_tiles_hold_each_row_once(spark):
+    v = spark.range(300).select("id", F.lit("p").alias("policy"), F.array(F.lit(1.0), F.col("id") / 300).alias("vector"), F.lit(0).cast("long").alias("unit"), F.lit(30).alias("tiles"))
+    tiles = similarity._tile_pairs(v, Workspace(spark, "t"), False).collect()
+    assert 10 < len(tiles) <= 30 and sum(len(r.policies) for r in tiles) == 300 and all(r.ids2 is None for r in tiles)
+
+
+def test_links_are_cut_to_a_forest():
+    import numpy as np
+
+    links = [np.array([[5, 9, 9, 7], [9, 5, 9, 100]]), np.array([[100, 3], [7, 4]])]
+    assert sorted(zip(*similarity._forest(links).tolist())) == [(4, 3), (9, 5), (100, 7)]
+    assert similarity._forest([]).shape == (2, 0)
