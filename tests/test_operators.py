@@ -175,7 +175,7 @@ def test_sample_is_fair(spark):
 def test_tiles_meet_without_a_shuffle(spark):
     rows = [(k, f"p{k % 2}", [1.0, k / 40]) for k in range(40)]
     v = spark.createDataFrame(rows, "id long, policy string, vector array<double>")
-    for across in (False,):
+    for across in (False, True):
         pairs = similarity.similar_pairs(v, 0.999, tile=4, across=across)
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" in plan and "Exchange" not in plan and "Generate" not in plan
