@@ -71,7 +71,7 @@ def build_records(completions: DataFrame, run: Run, asked: DataFrame | None = No
     whole = whole.withColumn("id", content_id(F.col("policy_id"), F.col("prompt"))).withColumn("problems", triage.record_problems())
     # parsed once, and read by the fold and by what takes its answer
     whole = Workspace(completions.sparkSession, "records").save(whole, "entries")
-    folded = records.quota_folded(whole.select("policy_id", "call_idx", "pos", "quota", "prompt", "problems")).select("policy_id", "call_idx", "pos", "kept")
+    folded = records.quota_told(whole.select("policy_id", "call_idx", "pos", "quota", "prompt", "problems")).select("policy_id", "call_idx", "pos", "kept")
     checked = whole.join(folded, ["policy_id", "call_idx", "pos"])
     wrong = checked.where("NOT kept").select("policy_id", "severity", F.array_join("problems", "; ").alias("error"))
     fine = checked.where("kept")

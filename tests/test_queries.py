@@ -81,3 +81,21 @@ def test_marks_within_json_replies_stay(spark, tmp_path):
     odd_documents(tmp_path, ["a [THINK]b[/THINK] c", '```["x"]``` {"prompt": "y"}'])
     for r in views.replies(spark, str(tmp_path)).where("shape != 'freeform'").select("text", "shape", parsing.parse_reply("raw").alias("p")).collect():
         assert r.p.strategy == r.shape and [e.prompt for e in r.p.prompts] == ["p" + r.text]
+
+
+def test_quota_fold_leaves_prompts_behind(spark):
+    rows = [("p", call, pos, 2, f"{'long ' * 200}{(call + pos) % 4}", []) for call in range(9) for pos in range(4)]
+    df = spark.createDataFrame(rows, "policy_id string, call_idx long, pos int, quota int, prompt string, problems array<string>")
+    plan = records.quota_told(df)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line or "MapInPandas" in line or "RepartitionByExpression" in line]
+    assert len(windows) >= 4 and not any("prompt" in line for line in windows)
+    told = {(r.policy_id, r.call_idx, r.pos, r.id, r.kept) for r in records.quota_told(df).collect()}
+    assert told == {(r.policy_id, r.call_idx, r.pos, r.id, r.kept) for r in records.quota_folded(df).collect()} and len(told) == 4
+
+
+def test_quota_fold_of_rows_that_share_a_place(spark):
+    rows = [("p", 0, 0, 5, "a", []), ("p", 0, 0, 5, "a", []), ("p", 0, 0, 5, " a", []), ("p", 0, 1, 5, None, ["x"]), ("p", 1, 0, 5, "b", []), ("p", 1, 0, 5, "b ", ["x"])]
+    df = spark.createDataFrame(rows, "policy_id string, call_idx long, pos int, quota int, prompt string, problems array<string>")
+    got = records.quota_folded(df).collect()
+    assert sorted((r.call_idx, r.pos, r.kept) for r in got) == [(0, 0, True), (0, 1, False), (1, 0, False), (1, 0, True)]
+    assert {r.prompt for r in got if r.call_idx == 1 and r.kept} == {"b"} and {r.prompt for r in got if r.call_idx == 1 and not r.kept} == {"b "}
