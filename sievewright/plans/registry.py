@@ -221,7 +221,7 @@ def parse_cascade(spark, sf):
     """Prompts that the parser recovers from untidy replies."""
     p = views.replies(spark, sf, rest="json").select("doc_id", "shape", parsing.parse_reply("raw").alias("p"))
     prompt = F.get("p.prompts", F.lit(0))["prompt"]
-    text = F.when(F.col("shape") == "freeform", prompt).otherwise(stripped(F.substring(prompt, 2, 2**31 - 1)))  # without the p of replies
+    text = F.when(F.col("shape") == "freeform", views.unescaped(prompt)).otherwise(stripped(F.substring(prompt, 2, 2**31 - 1)))  # without the p of replies
     return p.select("doc_id", F.size("p.prompts").alias("n_prompts"), F.md5(text).alias("digest"))
 
 

@@ -77,6 +77,15 @@ def test_replies_of_odd_texts_are_parsed(spark, tmp_path, name):
     assert plain(registry.QUERIES[name](spark, str(tmp_path)).toPandas()) == plain(con.execute(registry.SQL[name]).df())
 
 
+MARKED = ['a {"prompt": "y"} b', 'see ["x", "y"]', '```json\n["x"]\n``` y', "a [THINK]b[/THINK] c", "[think]", 'cut {"text": "z", "q', r'\u005b \u005c \\ {\"prompt\": 1} \\[', "x \\", "Prompt: y\r\nReason: z"]
+
+
+@pytest.mark.parametrize("name", ["parse_cascade", "parse_strategy_histogram"])
+def test_replies_of_marked_texts_are_parsed(spark, tmp_path, name):
+    con = odd_documents(tmp_path, MARKED)
+    assert plain(registry.QUERIES[name](spark, str(tmp_path)).toPandas()) == plain(con.execute(registry.SQL[name]).df())
+
+
 def test_marks_within_json_replies_stay(spark, tmp_path):
     odd_documents(tmp_path, ["a [THINK]b[/THINK] c", '```["x"]``` {"prompt": "y"}'])
     for r in views.replies(spark, str(tmp_path)).where("shape != 'freeform'").select("text", "shape", parsing.parse_reply("raw").alias("p")).collect():
